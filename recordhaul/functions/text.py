@@ -17,6 +17,8 @@ WHITE_SPACE = (
 _REPLACEMENT = "\ufffd"
 _ESCAPE = "\ufdd0"
 
+# Code points at which a text may hold such scripts; a quick test before the exact one.
+_CJK_PLANES = r"[\x{1100}-\x{11ff}\x{2e80}-\x{d7ff}\x{f900}-\x{ffdc}\x{16fe0}-\x{3ffff}]"
 _CJK = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}"
 
 
@@ -88,8 +90,9 @@ def tokens(col: Column) -> Column:
         )
         return F.when(run.rlike(rf"^[{_CJK}]"), F.concat(letters, pairs)).otherwise(F.array(run))
 
+    beyond_ascii = F.octet_length(col) > F.length(col)
     return (
         F.when(col.isNull(), F.array().cast("array<string>"))
-        .when(col.rlike(f"[{_CJK}]"), F.flatten(F.transform(runs, cut)))
+        .when(beyond_ascii & col.rlike(_CJK_PLANES), F.flatten(F.transform(runs, cut)))
         .otherwise(words)
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordhaul.functions import jsonl, text, times
+from recordhaul.operators.once import evaluate_once
 from recordhaul.schemas import (
     DEFAULT_ACCOUNT,
     MAX_LINE_BYTES,
@@ -77,7 +78,7 @@ def clean_records(parsed: DataFrame, load_ts: Column | None = None) -> DataFrame
         }
     )
     empty = (F.col("content") == "") | (F.col("title") == "")
-    return cleaned.select(
+    judged = cleaned.select(
         *carried,
         F.coalesce("origin_id", F.lit("")).alias("origin_id"),
         "title",
@@ -89,6 +90,7 @@ def clean_records(parsed: DataFrame, load_ts: Column | None = None) -> DataFrame
         .when(empty, "empty")
         .alias("reason"),
     )
+    return evaluate_once(judged, ["origin_id", "title", "content", "reason"])
 
 
 def accepted(cleaned: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from recordhaul.functions import jsonl, times
 from recordhaul.operators.changes import document_id
 from recordhaul.operators.numbering import number_rows
+from recordhaul.operators.once import evaluate_once
 from recordhaul.schemas import (
     ARTICLE_MAPPING,
     SYNC_FIELDS,
@@ -94,12 +95,13 @@ def decode_messages(
     judged = typed.withColumn("reason", reason)
     deliverable = F.col("reason").isNull()
     envelope = [F.col(name).alias(f"m_{name}") for name in messages.columns]
-    return judged.select(
+    decoded = judged.select(
         *envelope,
         F.when(deliverable, doc_id).alias("_id"),
         *[F.when(deliverable, F.col(f"_f_{name}")).alias(name) for name in fields],
         "reason",
     )
+    return evaluate_once(decoded, ["_id", *fields, "reason"])
 
 
 def split_dead_letters(decoded: DataFrame, attempts: int = 0) -> tuple[DataFrame, DataFrame]:

@@ -70,13 +70,11 @@ def postings(df: DataFrame, key: str, field: str) -> DataFrame:
     equal tokens start where a token differs from the one before. Nothing is shuffled.
     """
     words = df.select(
-        F.col(key).cast("string").alias("_id"), F.array_sort(tokens(F.col(field))).alias("words")
-    )
-    sized = words.select("_id", "words", F.size("words").alias("dl")).filter(F.col("dl") > 0)
-    starts = F.filter(
-        F.sequence(F.lit(0), F.col("dl") - 1),
-        lambda i: (i == 0) | (F.get("words", i) != F.get("words", i - 1)),
+        F.col(key).cast("string").alias("_id"), F.sort_array(tokens(F.col(field))).alias("words")
     )
+    sized = words.select("_id", "words", F.size("words").alias("dl"))
+    places = F.when(F.col("dl") > 0, F.sequence(F.lit(0), F.col("dl") - 1))
+    starts = F.filter(places, lambda i: (i == 0) | (F.get("words", i) != F.get("words", i - 1)))
     marked = sized.withColumn("starts", starts)
     runs = F.transform(
         F.col("starts"),
@@ -109,6 +107,10 @@ def query_terms(spark: SparkSession, text: str) -> Counter:
     return Counter(found["t"])
 
 
+def _times(words: str, term: str) -> Column:
+    return F.size(F.filter(words, lambda word: word == F.lit(term)))
+
+
 def _idf(docs: Column, df: Column) -> Column:
     return F.log(1 + (docs - df + 0.5) / (df + 0.5))
 
@@ -135,10 +137,7 @@ def match_search(
     counted = words.select(
         key,
         F.size("words").alias("dl"),
-        *[
-            F.size(F.filter("words", lambda w, term=term: w == F.lit(term))).alias(f"tf_{n}")
-            for n, term in enumerate(terms)
-        ],
+        *[_times("words", term).alias(f"tf_{n}") for n, term in enumerate(terms)],
     )
     found = [F.col(f"tf_{n}") > 0 for n in range(len(terms))]
     stats = counted.agg(
