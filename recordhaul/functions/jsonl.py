@@ -63,6 +63,15 @@ def opens_object(col: Column) -> Column:
     return F.ltrim(col, F.lit(JSON_SPACE)).startswith("{")
 
 
+def repair_surrogates(col: Column) -> Column:
+    """Turn escapes of half a surrogate pair into the escape of U+FFFD."""
+    high, low = r"\\u[dD][89abAB][0-9a-fA-F]{2}", r"\\u[dD][c-fC-F][0-9a-fA-F]{2}"
+    start = r"(?<!\\)((?:\\\\)*)"
+    fixed = F.regexp_replace(col, rf"{start}{high}(?!{low})", r"$1\\ufffd")
+    fixed = F.regexp_replace(fixed, rf"(?<!{high}){start}{low}", r"$1\\ufffd")
+    return F.when(col.contains("\\ud") | col.contains("\\uD"), fixed).otherwise(col)
+
+
 def is_blank(col: Column) -> Column:
     return F.ltrim(col, F.lit(JSON_SPACE)) == ""
 

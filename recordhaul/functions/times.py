@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The two accepted shapes of date text, and the time format of input lines.
+# The accepted shapes of date text, and the time format of input lines.
 ISO_DATE = (
     r"^\d{4}(-\d{2}(-\d{2}(T(\d{2}(:\d{2}(:\d{2}([.,]\d{1,9})?)?)?"
     r"(Z|[+-]\d{2}(:?\d{2})?)?)?)?)?)?$"
@@ -19,16 +19,24 @@ def truncate_ms(col: Column) -> Column:
     return F.date_trunc("MILLISECOND", col)
 
 
-def parse_date(col: Column) -> Column:
-    """Time stamp from ISO text with an optional time, or from epoch milliseconds."""
-    hour_only = F.regexp_replace(col, r"(T\d{2})(Z|[+-].*)?$", "$1:00$2")
-    text = F.regexp_replace(hour_only, r"T(Z|[+-].*)?$", "T00:00$1")
-    text = F.replace(text, F.lit(","), F.lit("."))
-    text = F.regexp_replace(text, r"(\.\d{6})\d+", "$1")
+def _completed(col: Column) -> Column:
+    """ISO text with the parts filled in that a cast to a time stamp asks for."""
+    zone = r"(Z|[+-]\d{2}(?::?\d{2})?)?$"
+    text = F.regexp_replace(col, "T" + zone, "T00$1")
+    text = F.regexp_replace(text, r"(T\d{2})" + zone, "$1:00$2")
+    text = F.regexp_replace(text, r"(T\d{2}:\d{2})" + zone, "$1:00$2")
     text = F.regexp_replace(text, r"(T.*[+-]\d{2})(\d{2})$", "$1:$2")
     text = F.regexp_replace(text, r"(T.*[+-]\d{2})$", "$1:00")
-    millis = F.when(col.rlike(EPOCH_MILLIS), F.timestamp_millis(col.try_cast("bigint")))
-    return F.coalesce(F.when(col.rlike(ISO_DATE), text.try_cast("timestamp")), millis)
+    return F.replace(text, F.lit(","), F.lit("."))
+
+
+def parse_date(col: Column) -> Column:
+    """Time stamp from ISO text with an optional time, or from epoch milliseconds."""
+    return (
+        F.when(col.rlike(RFC3339), col.try_cast("timestamp"))
+        .when(col.rlike(ISO_DATE), _completed(col).try_cast("timestamp"))
+        .when(col.rlike(EPOCH_MILLIS), F.timestamp_millis(col.try_cast("bigint")))
+    )
 
 
 def is_rfc3339(col: Column) -> Column:

@@ -14,6 +14,7 @@ from recordhaul.schemas import (
     TEXT_FIELDS,
     TIME_FIELDS,
 )
+from recordhaul.session import stage
 
 
 def parse_records(lines: DataFrame, max_line_bytes: int = MAX_LINE_BYTES) -> DataFrame:
@@ -22,7 +23,11 @@ def parse_records(lines: DataFrame, max_line_bytes: int = MAX_LINE_BYTES) -> Dat
     Every field must have its type, also those that are overwritten later. Unknown
     fields are ignored, missing and null ones allowed. Names are matched exactly.
     """
-    body = lines.withColumn("_body", text.drop_invalid_utf8(F.col("value")))
+    too_long = F.octet_length("value") >= max_line_bytes
+    readable = F.when(~too_long, F.col("value"))
+    body = lines.withColumn("_utf8", text.drop_invalid_utf8(readable)).withColumn(
+        "_body", jsonl.repair_surrogates(F.col("_utf8"))
+    )
     parsed = body.withColumn("_doc", jsonl.parse_object(F.col("_body"), RECORD_FIELDS)).withColumn(
         "_single", jsonl.is_single_value(F.col("_body"))
     )
@@ -37,7 +42,7 @@ def parse_records(lines: DataFrame, max_line_bytes: int = MAX_LINE_BYTES) -> Dat
         stamp = field(name)
         typed = typed & jsonl.is_text(stamp) & times.is_rfc3339(jsonl.as_text(stamp))
     reason = (
-        F.when(F.octet_length("value") >= max_line_bytes, "too_long")
+        F.when(too_long, "too_long")
         .when(~F.col("_single"), "malformed")
         .when(
             ~jsonl.parsed_well(F.col("_doc")),
@@ -115,10 +120,12 @@ def cut_files(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
     Returns the rows that stay and the files that were cut short.
     """
     place = F.struct("block_start", "seq")
-    cut = (
+    # At most a row per file, and written, so that Spark knows the size it joins with.
+    cut = stage(
         staged.filter(F.col("reason") == "too_long")
         .groupBy("file")
-        .agg(F.min(place).alias("_cut"))
+        .agg(F.min(place).alias("_cut")),
+        "cut",
     )
     rows = (
         staged.filter(F.col("reason").isNull())

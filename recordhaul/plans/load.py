@@ -65,20 +65,24 @@ def load_directory(
         *[F.count_if(F.col("reason") == reason).alias(reason) for reason in REASONS],
     )
     staged = stage(mark_kept(watched), "load")
-    rows, cut = cut_files(staged)
+    figures = seen.get
+    done = pending
+    if figures["too_long"]:
+        rows, cut = cut_files(staged)
+        done = pending_files(done, cut)
+    else:
+        rows = staged.drop("reason")
     numbered = number_lines(rows)
     kept = numbered.filter(F.col("pos") <= max_rows)
     first = _first_free_id(spark, table)
     articles = kept.select((F.col("pos") + (first - 1)).alias("id"), *ARTICLE_FIELDS)
     append_table(articles, table, load_id=load_id)
-    over = (
-        numbered.groupBy("file").agg(F.max("pos").alias("last")).filter(F.col("last") > max_rows)
-    )
-    done = pending_files(pending_files(pending, cut), over)
+    if figures["lines"] - sum(figures[name] for name in REASONS) > max_rows:
+        last = numbered.groupBy("file").agg(F.max("pos").alias("last"))
+        done = pending_files(done, last.filter(F.col("last") > max_rows))
     add_to_manifest(done, manifest, load_id)
     in_file = number_lines(rows.select("file", "block_start", "kept_seq"), within_file=True)
     batches = in_file.groupBy(
         "file", batch_of(F.col("pos"), batch_size).alias("batch_no")
     ).agg(F.count(F.lit(1)).alias("rows"))
-    figures = seen.get
     return LoadReport(figures["lines"], {name: figures[name] for name in REASONS}, batches)
