@@ -81,7 +81,7 @@ def test_derived_fields(spark):
     assert {str(row["created_at"]) for row in rows} == {"2024-01-01 00:00:00"}
 
 
-def test_a_third_of_long_lines_is_not_parsed(spark):
+def test_too_long_lines_are_not_parsed(spark):
     rows = clean(spark, ['{"content":"c"}', '{"content":"' + "c" * 100 + '"}'], max_line_bytes=64)
     assert [row["reason"] for row in rows] == [None, "too_long"]
 
