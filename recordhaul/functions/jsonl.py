@@ -89,12 +89,12 @@ def is_integer(col: Column) -> Column:
     return F.coalesce(variant_kind(col) == "BIGINT", F.lit(True))
 
 
-def is_number(col: Column) -> Column:
-    return F.coalesce(variant_kind(col).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.lit(False))
+def is_number_kind(kind: Column) -> Column:
+    return F.coalesce(kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.lit(False))
 
 
-def is_scalar(col: Column) -> Column:
-    return F.coalesce(~variant_kind(col).rlike("^(OBJECT|ARRAY)"), F.lit(True))
+def is_scalar_kind(kind: Column) -> Column:
+    return F.coalesce(~kind.rlike("^(OBJECT|ARRAY)"), F.lit(True))
 
 
 def as_text(col: Column) -> Column:

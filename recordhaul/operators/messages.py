@@ -62,37 +62,50 @@ def decode_messages(
     fields = mapping_fields(mapping)
     value = F.make_valid_utf8(F.col("value"))
     parsed = messages.withColumn("_doc", jsonl.parse_object(value, list(fields))).withColumn(
-        "_whole", jsonl.is_single_value(value) & jsonl.opens_object(value)
+        "_whole",
+        jsonl.opens_object(value)
+        & jsonl.is_single_value(value)
+        & jsonl.parsed_well(F.col("_doc")),
     )
 
     def raw(name: str) -> Column:
         return F.col(f"_doc.v.{name}")
 
-    def cast(name: str, kind: str) -> Column:
+    seen = parsed.withColumns(
+        {
+            **{f"_kind_{name}": jsonl.variant_kind(raw(name)) for name in fields},
+            **{
+                f"_raw_{name}": (jsonl.as_bigint if kind == "long" else jsonl.as_text)(raw(name))
+                for name, kind in fields.items()
+            },
+        }
+    )
+
+    def typed(name: str, kind: str) -> Column:
+        found = F.col(f"_raw_{name}")
         if kind == "long":
-            return jsonl.as_bigint(raw(name))
+            return found
         if kind == "date":
-            return times.parse_date(jsonl.as_text(raw(name)))
-        return F.when(jsonl.is_scalar(raw(name)), jsonl.as_text(raw(name)))
+            return times.parse_date(found)
+        return F.when(jsonl.is_scalar_kind(F.col(f"_kind_{name}")), found)
 
-    typed = parsed.withColumns({f"_f_{name}": cast(name, kind) for name, kind in fields.items()})
+    cast = seen.withColumns({f"_f_{name}": typed(name, kind) for name, kind in fields.items()})
     misfit = F.lit(False)
     for name in fields:
-        filled = jsonl.variant_kind(raw(name)).isNotNull()
-        misfit = misfit | (filled & F.col(f"_f_{name}").isNull())
-    whole = F.col("_whole") & jsonl.parsed_well(F.col("_doc"))
-    no_id = ~jsonl.is_number(raw(key)) | F.col(f"_f_{key}").isNull()
+        misfit = misfit | (F.col(f"_kind_{name}").isNotNull() & F.col(f"_f_{name}").isNull())
+    kind_of_key = F.col(f"_kind_{key}")
+    no_id = ~jsonl.is_number_kind(kind_of_key) | F.col(f"_f_{key}").isNull()
     if not need_key:
-        no_id = no_id & jsonl.variant_kind(raw(key)).isNotNull()
+        no_id = no_id & kind_of_key.isNotNull()
     reason = (
-        F.when(~whole, "malformed").when(no_id, "no_id").when(F.coalesce(misfit, F.lit(False)), "type")
+        F.when(~F.col("_whole"), "malformed").when(no_id, "no_id").when(misfit, "type")
     )
     has_place = set(PLACE) <= set(messages.columns)
     if need_key or not has_place:
         doc_id = F.col(f"_f_{key}").cast("string")
     else:
         doc_id = document_id(F.col(f"_f_{key}"), *[F.col(name) for name in PLACE])
-    judged = typed.withColumn("reason", reason)
+    judged = cast.withColumn("reason", reason)
     deliverable = F.col("reason").isNull()
     envelope = [F.col(name).alias(f"m_{name}") for name in messages.columns]
     decoded = judged.select(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordhaul.functions.text import tokens
+from recordhaul.session import stage
 
 # The usual parameters of the BM25 formula.
 K1 = 1.2
@@ -124,9 +125,10 @@ def match_search(
 ) -> DataFrame:
     """Documents with any word of ``text``, best BM25 score first.
 
-    Reads the table twice, for the statistics of the words asked for and for the scores;
-    each pass is narrow, and only the top ``size`` rows per task are compared in the end.
-    For repeated queries write ``postings`` once and use ``match_postings``.
+    The text is read and cut once. What is left of a document, its length and the counts
+    of the words asked for, is written, and gives both the statistics and the scores; only
+    the top ``size`` rows per task are compared in the end. For repeated queries write
+    ``postings`` once and use ``match_postings``.
     """
     terms = query_terms(df.sparkSession, text)
     if not terms:
@@ -134,10 +136,13 @@ def match_search(
             "score", F.lit(0.0)
         )
     words = df.select(key, tokens(F.col(field)).alias("words"))
-    counted = words.select(
-        key,
-        F.size("words").alias("dl"),
-        *[_times("words", term).alias(f"tf_{n}") for n, term in enumerate(terms)],
+    counted = stage(
+        words.select(
+            key,
+            F.size("words").alias("dl"),
+            *[_times("words", term).alias(f"tf_{n}") for n, term in enumerate(terms)],
+        ),
+        "counted",
     )
     found = [F.col(f"tf_{n}") > 0 for n in range(len(terms))]
     stats = counted.agg(
