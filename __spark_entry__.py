@@ -716,8 +716,8 @@ def match_stored_index(spark, sf_dir):
     documents = _table(spark, sf_dir, "documents")
     path = new_folder(spark, "index")
     search.write_index(search.postings(documents, "doc_id", "text"), path)
-    statistics = search.index_stats(documents, "text")
-    return search.match_postings(spark.read.parquet(path), statistics, _QUERY_TEXT)
+    index = spark.read.parquet(path)
+    return search.match_postings(index, search.index_stats(documents, index), _QUERY_TEXT)
 
 
 @query("""

@@ -118,7 +118,7 @@ def assign_ids(df: DataFrame, order: Sequence[str], first_id: int = 1) -> DataFr
 
 def batch_of(position: Column, size: int) -> Column:
     """0-based batch of a 1-based position."""
-    return F.floor((position - 1) / F.lit(size)).cast("bigint")
+    return F.call_function("div", position - 1, F.lit(size))
 
 
 def assign_batches(

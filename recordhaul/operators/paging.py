@@ -49,10 +49,11 @@ def page_plan(df: DataFrame, key: str, size: int = PAGE_SIZE) -> DataFrame:
 
 def id_ranges(df: DataFrame, key: str, ranges: int) -> DataFrame:
     """Add ``range_no``: equal, disjoint id ranges between the least and the greatest id."""
-    ends = df.agg(F.struct(F.min(key).alias("lo"), F.max(key).alias("hi")).alias("ends")).scalar()
-    width = ends["hi"] - ends["lo"] + 1
-    number = F.floor((F.col(key) - ends["lo"]) * ranges / width)
-    return df.withColumn("range_no", number.cast("bigint"))
+    lo, hi = df.agg(F.min(key), F.max(key)).first()
+    if lo is None:
+        return df.withColumn("range_no", F.lit(None).cast("bigint"))
+    number = F.call_function("div", (F.col(key) - lo) * ranges, F.lit(hi - lo + 1))
+    return df.withColumn("range_no", number)
 
 
 def range_counts(ranged: DataFrame, key: str) -> DataFrame:

@@ -15,6 +15,9 @@ K1 = 1.2
 B = 0.75
 SCORE_PLACES = 6
 
+INDEX_BUCKETS = 64
+INDEX_SPREAD = 4
+
 
 def with_id(df: DataFrame, key: str) -> DataFrame:
     """Add the document id ``_id`` to the hits."""
@@ -95,11 +98,18 @@ def token_doc_freq(df: DataFrame, field: str) -> DataFrame:
     return words.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
 
 
-def index_stats(df: DataFrame, field: str) -> DataFrame:
-    """One row: number of documents and their mean length in tokens."""
-    return df.agg(
-        F.count(F.lit(1)).alias("docs"), F.avg(F.size(tokens(F.col(field)))).alias("avgdl")
+def index_stats(df: DataFrame, index: DataFrame) -> DataFrame:
+    """One row: number of documents, and their mean length in tokens from the postings.
+
+    Neither reads the text again.
+    """
+    docs = df.agg(F.count(F.lit(1)).alias("docs"))
+    total = index.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("total"))
+    both = docs.select("docs", F.lit(0).alias("total")).unionByName(
+        total.select(F.lit(0).alias("docs"), "total")
     )
+    summed = both.agg(F.sum("docs").alias("docs"), F.sum("total").alias("total"))
+    return summed.select("docs", (F.col("total") / F.nullif("docs", F.lit(0))).alias("avgdl"))
 
 
 def query_terms(spark: SparkSession, text: str) -> Counter:
@@ -146,16 +156,14 @@ def match_search(
     )
     found = [F.col(f"tf_{n}") > 0 for n in range(len(terms))]
     stats = counted.agg(
-        F.struct(
-            F.count(F.lit(1)).alias("docs"),
-            F.avg("dl").alias("avgdl"),
-            *[F.count_if(hit).alias(f"df_{n}") for n, hit in enumerate(found)],
-        ).alias("stats")
-    ).scalar()
+        F.count(F.lit(1)).alias("docs"),
+        F.avg("dl").alias("avgdl"),
+        *[F.count_if(hit).alias(f"df_{n}") for n, hit in enumerate(found)],
+    ).first()  # one row of numbers, put into the scores as constants
     score = F.lit(0.0)
     for n, weight in enumerate(terms.values()):
-        gain = _idf(stats["docs"], stats[f"df_{n}"]) * _saturation(
-            F.col(f"tf_{n}"), F.col("dl"), stats["avgdl"]
+        gain = _idf(F.lit(stats["docs"]), F.lit(stats[f"df_{n}"])) * _saturation(
+            F.col(f"tf_{n}"), F.col("dl"), F.lit(stats["avgdl"])
         )
         score = score + F.lit(float(weight)) * gain
     any_hit = found[0]
@@ -171,31 +179,46 @@ def _best(scored: DataFrame, key: str, size: int | None) -> DataFrame:
     return scored.orderBy(F.desc("score"), key).limit(size)
 
 
-def write_index(index: DataFrame, path: str) -> None:
-    """Store postings sorted by token, so that a search reads only the words asked for.
+def _bucket(token: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(token), F.lit(buckets))
+
+
+def write_index(
+    index: DataFrame, path: str, buckets: int = INDEX_BUCKETS, spread: int = INDEX_SPREAD
+) -> None:
+    """Store postings by token, so that a search reads only the words asked for.
 
-    A common word fills several files: the range is cut by token and document.
+    A token's bucket is a folder; within its files rows are sorted by token. The rows of
+    a bucket come from ``spread`` tasks, split by document, so a word that is in every
+    document fills several files. One hash shuffle: no pass to find range bounds first.
     """
-    index.repartitionByRange("token", "_id").sortWithinPartitions("token", "_id").write.mode(
-        "overwrite"
-    ).parquet(path)
+    placed = index.withColumn("bucket", _bucket(F.col("token"), buckets))
+    share = F.pmod(F.xxhash64("_id"), F.lit(spread))
+    spread_out = placed.repartition("bucket", share).sortWithinPartitions("bucket", "token", "_id")
+    spread_out.write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
 def match_postings(
-    index: DataFrame, stats: DataFrame, text: str, size: int | None = None
+    index: DataFrame,
+    stats: DataFrame,
+    text: str,
+    size: int | None = None,
+    buckets: int = INDEX_BUCKETS,
 ) -> DataFrame:
-    """As ``match_search``, from stored postings and ``index_stats``."""
+    """As ``match_search``, from postings and ``index_stats``; stored ones are pruned."""
     terms = query_terms(index.sparkSession, text)
-    hits = index.filter(F.col("token").isin(*terms)).select("_id", "token", "tf", "dl")
+    wanted = F.col("token").isin(*terms)
+    if "bucket" in index.columns:
+        wanted = wanted & F.col("bucket").isin(*[_bucket(F.lit(term), buckets) for term in terms])
+    hits = index.filter(wanted).select("_id", "token", "tf", "dl")
     # As many rows as the query has words.
     frequencies = hits.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    stat = stats.agg(F.struct(F.first("docs").alias("docs"), F.first("avgdl").alias("avgdl")))
-    whole = stat.scalar()
+    whole = stats.first()
     weight = F.lit(0.0)
     for term, times in terms.items():
         weight = F.when(F.col("token") == term, float(times)).otherwise(weight)
-    gain = _idf(whole["docs"], F.col("df")) * _saturation(
-        F.col("tf"), F.col("dl"), whole["avgdl"]
+    gain = _idf(F.lit(whole["docs"]), F.col("df")) * _saturation(
+        F.col("tf"), F.col("dl"), F.lit(whole["avgdl"])
     )
     scored = (
         hits.join(F.broadcast(frequencies), "token")

@@ -51,7 +51,7 @@ def line_count_summary(counts: DataFrame) -> DataFrame:
         files.alias("files"),
         records.alias("records"),
         F.count_if(failed).alias("error_files"),
-        F.when(files > 0, F.floor(records / files)).alias("avg_records"),
+        F.when(files > 0, F.call_function("div", records, files)).alias("avg_records"),
     )
 
 
@@ -68,5 +68,5 @@ def json_summary(counts: DataFrame) -> DataFrame:
         invalid.alias("invalid"),
         F.count_if(failed).alias("error_files"),
         F.round(records * 100.0 / F.nullif(records + invalid, F.lit(0)), 2).alias("valid_pct"),
-        F.when(files > 0, F.floor(records / files)).alias("avg_records"),
+        F.when(files > 0, F.call_function("div", records, files)).alias("avg_records"),
     )

@@ -1,4 +1,5 @@
 import math
+import re
 from collections import Counter
 
 import pytest
@@ -53,7 +54,8 @@ def test_match_against_brute_force(spark, docs, text):
     terms = ["数", "据", "数据"] if text == "数据" else text.split()
     expected = brute(terms)
     assert scores(search.match_search(docs, "id", "body", text)) == pytest.approx(expected)
-    index, stats = search.postings(docs, "id", "body"), search.index_stats(docs, "body")
+    index = search.postings(docs, "id", "body")
+    stats = search.index_stats(docs, index)
     assert scores(search.match_postings(index, stats, text)) == pytest.approx(expected)
 
 
@@ -85,10 +87,12 @@ def test_doc_freq(docs):
 def test_stored_index_is_pruned_by_token(spark, docs, tmp_path):
     path = str(tmp_path / "index")
     search.write_index(search.postings(docs, "id", "body"), path)
-    stored = search.match_postings(spark.read.parquet(path), search.index_stats(docs, "body"), "dog")
+    index = spark.read.parquet(path)
+    stored = search.match_postings(index, search.index_stats(docs, index), "dog")
     assert set(scores(stored)) == {"1", "6"}
     plan = stored._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(token,dog)" in plan or "In(token, [dog])" in plan
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket", plan)
 
 
 def ids(frame):
