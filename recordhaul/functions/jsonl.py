@@ -77,16 +77,17 @@ def is_blank(col: Column) -> Column:
 
 
 def variant_kind(col: Column) -> Column:
-    """Type name of a VARIANT field; null when the field is absent or null."""
-    return F.nullif(F.schema_of_variant(col), F.lit("VOID"))
+    """Type name of a VARIANT field: null when it is absent, VOID when it is null."""
+    return F.schema_of_variant(col)
 
 
-def is_text(col: Column) -> Column:
-    return F.coalesce(variant_kind(col) == "STRING", F.lit(True))
+def is_kind(kind: Column, wanted: str) -> Column:
+    """True for the type itself, for null and for an absent field."""
+    return kind.isNull() | kind.isin(wanted, "VOID")
 
 
-def is_integer(col: Column) -> Column:
-    return F.coalesce(variant_kind(col) == "BIGINT", F.lit(True))
+def is_filled(kind: Column) -> Column:
+    return F.coalesce(kind != "VOID", F.lit(False))
 
 
 def is_number_kind(kind: Column) -> Column:

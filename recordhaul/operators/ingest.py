@@ -35,17 +35,23 @@ def parse_records(lines: DataFrame, max_line_bytes: int = MAX_LINE_BYTES) -> Dat
     def field(name: str) -> Column:
         return F.col(f"_doc.v.{name}")
 
-    typed = jsonl.is_integer(field("account_id"))
-    for name in TEXT_FIELDS:
-        typed = typed & jsonl.is_text(field(name))
+    seen = parsed.withColumns(
+        {
+            **{f"_kind_{name}": jsonl.variant_kind(field(name)) for name in RECORD_FIELDS},
+            **{f"_raw_{name}": jsonl.as_text(field(name)) for name in TEXT_FIELDS + TIME_FIELDS},
+            "_well": jsonl.parsed_well(F.col("_doc")),
+        }
+    )
+    typed = jsonl.is_kind(F.col("_kind_account_id"), "BIGINT")
+    for name in TEXT_FIELDS + TIME_FIELDS:
+        typed = typed & jsonl.is_kind(F.col(f"_kind_{name}"), "STRING")
     for name in TIME_FIELDS:
-        stamp = field(name)
-        typed = typed & jsonl.is_text(stamp) & times.is_rfc3339(jsonl.as_text(stamp))
+        typed = typed & times.is_rfc3339(F.col(f"_raw_{name}"))
     reason = (
         F.when(too_long, "too_long")
         .when(~F.col("_single"), "malformed")
         .when(
-            ~jsonl.parsed_well(F.col("_doc")),
+            ~F.col("_well"),
             F.when(jsonl.opens_object(F.col("_body")), "malformed")
             .when(jsonl.is_blank(F.col("_body")), "malformed")
             .otherwise("wrong_type"),
@@ -53,10 +59,9 @@ def parse_records(lines: DataFrame, max_line_bytes: int = MAX_LINE_BYTES) -> Dat
         .when(~typed, "wrong_type")
     )
     fields = [
-        jsonl.as_text(field(name)).alias("origin_id" if name == "id" else name)
-        for name in TEXT_FIELDS
+        F.col(f"_raw_{name}").alias("origin_id" if name == "id" else name) for name in TEXT_FIELDS
     ]
-    return parsed.select(
+    return seen.select(
         *[name for name in lines.columns if name != "value"], *fields, reason.alias("reason")
     )
 

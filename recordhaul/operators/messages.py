@@ -92,11 +92,11 @@ def decode_messages(
     cast = seen.withColumns({f"_f_{name}": typed(name, kind) for name, kind in fields.items()})
     misfit = F.lit(False)
     for name in fields:
-        misfit = misfit | (F.col(f"_kind_{name}").isNotNull() & F.col(f"_f_{name}").isNull())
+        misfit = misfit | (jsonl.is_filled(F.col(f"_kind_{name}")) & F.col(f"_f_{name}").isNull())
     kind_of_key = F.col(f"_kind_{key}")
     no_id = ~jsonl.is_number_kind(kind_of_key) | F.col(f"_f_{key}").isNull()
     if not need_key:
-        no_id = no_id & kind_of_key.isNotNull()
+        no_id = no_id & jsonl.is_filled(kind_of_key)
     reason = (
         F.when(~F.col("_whole"), "malformed").when(no_id, "no_id").when(misfit, "type")
     )
