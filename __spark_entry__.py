@@ -33,14 +33,13 @@ _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
 
-def query(sql: str | None) -> Callable[[Query], Query]:
-    """Register a query under the function's name, with the SQL that gives the same rows."""
+def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query, by default under the function's name, with the SQL for the same rows."""
 
     def register(function: Query) -> Query:
-        name = function.__name__
-        _QUERIES[name] = function
-        if sql is not None:
-            _SQL[name] = sql
+        key = name or function.__name__
+        _QUERIES[key] = function
+        _SQL[key] = sql
         return function
 
     return register
@@ -286,7 +285,7 @@ def append_result(spark, sf_dir):
     return written.groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("SELECT lang, count(*) AS rows FROM documents GROUP BY lang")
+@query("SELECT lang, count(*) AS rows FROM documents GROUP BY lang", "full_refresh")
 def full_refresh_result(spark, sf_dir):
     documents = _table(spark, sf_dir, "documents")
     path = new_folder(spark, "refresh")
@@ -547,7 +546,7 @@ def bulk_document_ids(spark, sf_dir):
     return changes.upsert(None, decoded, "_id", ["m_offset"]).select("_id", "id", "title")
 
 
-@query(_DOCUMENTS_SQL)
+@query(_DOCUMENTS_SQL, "full_load")
 def full_load_documents(spark, sf_dir):
     documents, _ = full_load(_articles(spark, sf_dir))
     return _document_columns(documents)
@@ -621,7 +620,7 @@ def missing_keys(spark, sf_dir):
 
 @query("""
     SELECT DISTINCT source AS file FROM documents
-    WHERE CAST(substr(source, 4) AS INTEGER) % 2 = 1""")
+    WHERE CAST(substr(source, 4) AS INTEGER) % 2 = 1""", "pending_files")
 def pending_sources(spark, sf_dir):
     files = _table(spark, sf_dir, "documents").select(F.col("source").alias("file")).distinct()
     even = F.substring("file", 4, 9).cast("int") % 2 == 0

@@ -50,6 +50,7 @@ def load_directory(
     The text is read and parsed once and written as marked rows; ids, batches and the
     cap come from counts over that table. Rows get ids in file order after those the
     table has. The manifest follows the rows, and names only files that are in whole.
+    A load that broke off may be run again under its ``load_id``, which replaces its rows.
     """
     files = list_files(spark, directory, recursive, pattern)
     pending = pending_files(files, read_manifest(spark, manifest))
@@ -57,6 +58,8 @@ def load_directory(
     names = [row["file"] for row in pending.select("file").collect()]
     if not names:
         return None
+    if finished(spark, f"{manifest}/load_id={load_id}"):
+        raise ValueError(f"load {load_id} is complete; new files need a new load_id")
     seen = Observation()
     cleaned = clean_records(parse_records(read_files(spark, names), max_line_bytes), load_ts)
     watched = cleaned.observe(

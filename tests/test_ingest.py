@@ -138,12 +138,26 @@ def test_second_load_takes_new_files_only(spark, folder):
     load(spark, folder)
     assert load(spark, folder, "two") is None
     (folder / "in" / "d.jsonl").write_text('{"id":"d0","content":"new"}\n')
+    with pytest.raises(ValueError):  # would replace the rows of the first load
+        load(spark, folder)
     load(spark, folder, "three")
     assert loaded(spark, folder)[-1] == (751, "d0")
     assert len(loaded(spark, folder)) == 751
 
 
-@pytest.mark.parametrize("limit", [1, 699, 700, 720, 750, 5000])
+def test_broken_off_load_is_replaced(spark, folder, monkeypatch):
+    def crash(*_):
+        raise OSError("lost")
+
+    monkeypatch.setattr("recordhaul.plans.load.add_to_manifest", crash)
+    with pytest.raises(OSError):
+        load(spark, folder)
+    monkeypatch.undo()
+    load(spark, folder)
+    assert [origin for _, origin in loaded(spark, folder)] == ALL
+
+
+@pytest.mark.parametrize("limit", [1, 700, 720, 5000])
 def test_cap_cuts_in_file_order_and_keeps_the_manifest_honest(spark, folder, limit):
     load(spark, folder, max_rows=limit)
     assert loaded(spark, folder) == list(enumerate(ALL, 1))[:limit]
