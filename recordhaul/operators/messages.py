@@ -13,6 +13,7 @@ from recordhaul.operators.numbering import number_rows
 from recordhaul.operators.once import evaluate_once
 from recordhaul.schemas import (
     ARTICLE_MAPPING,
+    DEAD_LETTER_TOPIC,
     SYNC_FIELDS,
     TOPIC,
     TOPIC_PARTITIONS,
@@ -129,6 +130,12 @@ def split_dead_letters(decoded: DataFrame, attempts: int = 0) -> tuple[DataFrame
     return documents, dead
 
 
+def dead_letter_messages(dead: DataFrame, topic: str = DEAD_LETTER_TOPIC) -> DataFrame:
+    """Dead letters as messages of their own topic, unchanged and in the same partition."""
+    key = F.col("key") if "key" in dead.columns else F.lit(None).cast("string")
+    return dead.select(F.lit(topic).alias("topic"), "partition", key.alias("key"), "value")
+
+
 def dead_letter_counts(dead: DataFrame) -> DataFrame:
     return dead.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
 

@@ -134,6 +134,10 @@ def test_dead_letters_keep_the_message(spark):
         (1, values[1], "malformed", 0),
         (2, values[2], "no_id", 0),
     }
+    assert as_set(messages.dead_letter_messages(dead)) == {
+        ("full_load_dlq", 1, None, values[1]),
+        ("full_load_dlq", 2, None, values[2]),
+    }
 
 
 def test_generated_ids_are_stable(spark):
