@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +13,6 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
-_fallback_folder: dict[str, str] = {}
-
 
 def build_session(app: str = "recordhaul", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -29,19 +26,14 @@ def build_session(app: str = "recordhaul", master: str | None = None, **conf: st
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local master may go without it; one temporary folder per application
-    then stands in.
+    Where it is unset, a folder of the application's own below the warehouse stands in, which
+    executors share as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    app = context.applicationId
-    if app not in _fallback_folder:
-        _fallback_folder[app] = tempfile.mkdtemp(prefix="recordhaul-")
-    return _fallback_folder[app]
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return f"{warehouse}/recordhaul-{spark.sparkContext.applicationId}"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
