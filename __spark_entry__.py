@@ -856,9 +856,25 @@ def entry(spark: SparkSession) -> DataFrame:
     )
 
 
+def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the training-data operators and their pipeline, if they are there."""
+    try:
+        import corpus_pipeline
+        from recordhaul.llm import queries as operators
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "recordhaul.llm"):
+            raise
+        return {}, {}
+    found = {**operators.QUERIES, "pipeline": corpus_pipeline.run}
+    sql = dict(operators.ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_training_data()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return {**_SQL, **_training_data()[1]}

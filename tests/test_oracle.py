@@ -14,10 +14,10 @@ def tables():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry._QUERIES) == set(entry._SQL)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry._QUERIES))
 def test_query(spark, tables, name):
     assert mismatch(entry.queries()[name](spark, SF_DIR), tables, entry.oracle_sql()[name]) is None
 
