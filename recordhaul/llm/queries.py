@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordhaul.llm.line_dedup import drop_shared_lines
+from recordhaul.llm.minhash import near_duplicates
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -21,7 +24,13 @@ def _query(sql: str | None = None):
     return register
 
 
+#: Where this package can be imported from.
+_ROOT = str(Path(__file__).resolve().parents[2])
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers import the operators; a driver that was started elsewhere has no path for them.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -49,3 +58,8 @@ def op6_line_dedup(spark, sf_dir):
     reduced = drop_shared_lines(_table(spark, sf_dir, "documents"))
     digest = F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
     return reduced.select("doc_id", "n_lines", "n_dropped", digest)
+
+
+@_query()
+def op9_minhash_near_dedup(spark, sf_dir):
+    return near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=85)
