@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from recordhaul.llm.line_dedup import drop_shared_lines
 from recordhaul.llm.minhash import near_duplicates
+from recordhaul.llm.sentence_spans import drop_repeated_spans
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -63,3 +64,8 @@ def op6_line_dedup(spark, sf_dir):
 @_query()
 def op9_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+@_query()
+def op10_substring_dedup(spark, sf_dir):
+    return drop_repeated_spans(_table(spark, sf_dir, "documents").select("doc_id", "text"))
