@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from recordhaul.llm.line_dedup import drop_shared_lines
 from recordhaul.llm.minhash import near_duplicates
+from recordhaul.llm.quality import COUNTS, quality_verdicts
 from recordhaul.llm.sentence_spans import drop_repeated_spans
 
 QUERIES = {}
@@ -69,3 +70,10 @@ def op9_minhash_near_dedup(spark, sf_dir):
 @_query()
 def op10_substring_dedup(spark, sf_dir):
     return drop_repeated_spans(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query()
+def op5_quality_rules(spark, sf_dir):
+    labels = _table(spark, sf_dir, "labels")
+    verdicts = quality_verdicts(_table(spark, sf_dir, "documents"), labels)
+    return verdicts.select("doc_id", *COUNTS, "base_failed", "kept")
