@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from recordhaul.llm.line_dedup import drop_shared_lines
 from recordhaul.llm.minhash import near_duplicates
+from recordhaul.llm.packing import pack_documents
 from recordhaul.llm.quality import COUNTS, quality_verdicts
 from recordhaul.llm.sentence_spans import drop_repeated_spans
+from recordhaul.llm.token_files import read_token_files, write_token_files
+from recordhaul.session import new_folder
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -77,3 +80,16 @@ def op5_quality_rules(spark, sf_dir):
     labels = _table(spark, sf_dir, "labels")
     verdicts = quality_verdicts(_table(spark, sf_dir, "documents"), labels)
     return verdicts.select("doc_id", *COUNTS, "base_failed", "kept")
+
+
+@_query()
+def op7_token_files(spark, sf_dir):
+    folder = new_folder(spark, "token-files")
+    write_token_files(_table(spark, sf_dir, "documents"), folder)
+    checksum = F.crc32("ids").alias("ids_crc32")
+    return read_token_files(spark, folder).select("doc_id", "start", "n_tokens", checksum)
+
+
+@_query()
+def op8_packing(spark, sf_dir):
+    return pack_documents(_table(spark, sf_dir, "documents"))
