@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordhaul.llm.line_dedup import drop_shared_lines
+from recordhaul.llm.merkle import edited_fingerprints
 from recordhaul.llm.minhash import near_duplicates
 from recordhaul.llm.packing import pack_documents
 from recordhaul.llm.quality import COUNTS, quality_verdicts
+from recordhaul.llm.secrets import scan_secrets, span_list
 from recordhaul.llm.sentence_spans import drop_repeated_spans
 from recordhaul.llm.token_files import read_token_files, write_token_files
 from recordhaul.session import new_folder
@@ -93,3 +95,17 @@ def op7_token_files(spark, sf_dir):
 @_query()
 def op8_packing(spark, sf_dir):
     return pack_documents(_table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op3_secret_scan(spark, sf_dir):
+    found = scan_secrets(_table(spark, sf_dir, "documents"))
+    digest = F.sha2(span_list("base").cast("binary"), 256).alias("base_sha256")
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", "n_linked", digest, span_list("spans").alias("spans")
+    )
+
+
+@_query()
+def op4_document_fingerprints(spark, sf_dir):
+    return edited_fingerprints(_table(spark, sf_dir, "documents"))
