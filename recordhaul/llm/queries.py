@@ -7,6 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordhaul.llm.html_text import extract_pages
 from recordhaul.llm.line_dedup import drop_shared_lines
 from recordhaul.llm.merkle import edited_fingerprints
 from recordhaul.llm.minhash import near_duplicates
@@ -109,3 +110,8 @@ def op3_secret_scan(spark, sf_dir):
 @_query()
 def op4_document_fingerprints(spark, sf_dir):
     return edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op1_html_extraction(spark, sf_dir):
+    return extract_pages(_table(spark, sf_dir, "pages"))
