@@ -8,9 +8,9 @@
 3. A pair is kept if the number of equal lanes of its signatures, corrected for lanes that agree by
    chance, leaves the similarity asked for possible (six standard deviations), and if the sizes do.
 4. What is left is confirmed on the full sets, and components are formed.
-5. Buckets that still hold several components are compared in full, by signature and in blocks;
-   only pairs of different components that pass are confirmed likewise. So no link is lost that
-   shares a band.
+5. Buckets that still hold several components are compared in full, in blocks: by signature, then,
+   for pairs of different components that pass, on the sets. A block gives no more links than join
+   its components. So no link is lost that shares a band.
 
 Equal sets are one node from the start. With 32 bands of 4 rows a pair at similarity 0.85 shares no
 band with probability 6e-11, at 0.8 with 5e-8. Shingles and sets are told apart by 64-bit hashes.
@@ -35,6 +35,8 @@ WORDS = HASHES * BITS // 64
 SIGNATURE = [f"s{n}" for n in range(WORDS)]
 #: Sets of a bucket that are compared in one block.
 BLOCK = 1024
+#: Shingles that a part of a bucket holds; with ``BLOCK`` it decides the number of parts.
+BLOCK_SHINGLES = 500_000
 
 _seeds = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64))
 _FACTORS, _SHIFTS = _seeds[:HASHES, None] | np.uint64(1), _seeds[HASHES:, None]
@@ -169,57 +171,77 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     return with_texts.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
-def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes of different components that a block holds and whose signatures allow a link.
+def _joined(group: pa.Table, size: int, percent: int) -> list[tuple[int, int]]:
+    """Links between different components of a block, as many as join what the block can join."""
+    needed = lanes_needed(percent)
+    column = {n: group.column(n).to_numpy() for n in ("i", "j", "side", "node", "component")}
+    texts = group.column("text").combine_chunks()
+    sets = [shingle_set(words, size) for words in word_hashes(texts)]
+    right_text = np.array([len(x) > 0 and _node(x) == n for x, n in zip(sets, column["node"], strict=True)])
+    sizes = np.array([len(x) for x in sets])
+    signature = np.stack([group.column(s).to_numpy() for s in SIGNATURE], 1).astype(np.uint64)
+    same = column["i"][0] == column["j"][0]
+    left = np.arange(len(sets)) if same else np.flatnonzero(column["side"] == 0)
+    right = left if same else np.flatnonzero(column["side"] == 1)
+    # Shingles as small numbers, so that one look-up finds those that a set shares with all others.
+    numbers = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    begins = np.concatenate([[0], np.cumsum(sizes)])
+    marked = np.zeros(len(numbers) + 1, np.int32)
+    label = np.unique(column["component"], return_inverse=True)[1]
+    links = []
+    for n in left:
+        x = signature[n] ^ signature[right]
+        lanes = HASHES - np.bitwise_count((x | (x >> np.uint64(1))) & _LANES).sum(1)
+        small, large = np.minimum(sizes[n], sizes[right]), np.maximum(sizes[n], sizes[right])
+        good = (lanes >= needed) & (label[right] != label[n]) & (small * 100 >= large * percent)
+        good &= right_text[right] & right_text[n]
+        if same:
+            good &= right > n
+        if not good.any():
+            continue
+        own = numbers[begins[n] : begins[n + 1]]
+        marked[own] = 1
+        running = np.concatenate([[0], np.cumsum(marked[numbers])])
+        marked[own] = 0
+        both = (running[begins[1:]] - running[begins[:-1]])[right]
+        good &= both * 100 >= (sizes[n] + sizes[right] - both) * percent
+        for m in right[good]:
+            if label[m] != label[n]:
+                links.append((int(column["node"][n]), int(column["node"][m])))
+                label[label == label[m]] = label[n]
+    return links
+
+
+def _links_within(rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """Confirmed links ``(a, b)`` between components that meet in a block.
 
     ``rows`` are sorted so that a block ``(key, i, j)`` stands together; ``side`` tells which of
     the two parts of its bucket a row is from.
     """
-    needed = lanes_needed(percent)
 
-    def compare(group: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        signature = np.stack([group[s] for s in SIGNATURE], 1).astype(np.uint64)
-        same = group["i"][0] == group["j"][0]
-        left = np.arange(len(signature)) if same else np.flatnonzero(group["side"] == 0)
-        right = left if same else np.flatnonzero(group["side"] == 1)
-        out = []
-        for n in left:
-            x = signature[n] ^ signature[right]
-            lanes = HASHES - np.bitwise_count((x | (x >> np.uint64(1))) & _LANES).sum(1)
-            sizes = np.sort(np.stack([np.full(len(right), group["n_shingles"][n]), group["n_shingles"][right]]), 0)
-            good = (lanes >= needed) & (group["component"][right] != group["component"][n])
-            good &= sizes[0] * 100 >= sizes[1] * percent
-            if same:
-                good &= right > n
-            found = right[good]
-            out.append(np.stack([np.full(len(found), group["node"][n]), group["node"][found]]))
-        pairs = np.concatenate(out, 1) if out else np.empty((2, 0), np.int64)
-        return pairs.min(0), pairs.max(0)
-
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict[str, np.ndarray]] = []
-        names = ["key", "i", "j", "side", "node", "component", "n_shingles", *SIGNATURE]
-
-        def out(group: dict[str, np.ndarray]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in compare(group)], names=["a", "b"])
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(block: pa.Table) -> pa.RecordBatch:
+            found = np.array(_joined(block, size, percent), np.int64).reshape(-1, 2)
+            return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
+        held = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            new = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in names}
-            held.append(new)
-            rows = {name: np.concatenate([h[name] for h in held]) for name in names}
-            change = np.zeros(len(rows["key"]), bool)
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            change = np.zeros(held.num_rows, bool)
             for name in ("key", "i", "j"):
-                change[1:] |= rows[name][1:] != rows[name][:-1]
+                values = held.column(name).to_numpy()
+                change[1:] |= values[1:] != values[:-1]
             cuts = [0, *np.flatnonzero(change).tolist()]
             for a, b in zip(cuts, cuts[1:], strict=False):
-                yield out({name: x[a:b] for name, x in rows.items()})
-            held = [{name: x[cuts[-1] :] for name, x in rows.items()}]
-        if held:
-            yield out({name: np.concatenate([h[name] for h in held]) for name in names})
+                yield out(held.slice(a, b - a))
+            held = held.slice(cuts[-1])
+        if held is not None:
+            yield out(held)
 
-    return rows.mapInArrow(blocks, "a long, b long").distinct()
+    return rows.mapInArrow(links, "a long, b long")
 
 
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -261,25 +283,27 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
     placed = inside.join(components, "node", "left").select(
         "key", "node", F.coalesce("component", "node").alias("component")
     )
+    placed = placed.join(nodes.select("node", "n_shingles", *SIGNATURE), "node")
     mixed = placed.groupBy("key").agg(
-        F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("n")
-    )
-    mixed = mixed.where("least <> most").select("key", F.ceil(F.col("n") / BLOCK).alias("parts"))
+        F.min("component").alias("least"), F.max("component").alias("most"),
+        F.count("*").alias("n"), F.sum("n_shingles").alias("total"),
+    )
+    parts = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("total") / BLOCK_SHINGLES))
+    mixed = mixed.where("least <> most").select("key", parts.alias("parts"))
     part = F.pmod(F.xxhash64("node"), F.col("parts"))
     rows = (
         placed.join(mixed, "key")
-        .join(nodes.drop("first_doc"), "node")
         .withColumn("part", part)
         .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
         .select(
             "key", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"),
             (F.col("part") > F.col("with")).cast("long").alias("side"),
-            "node", "component", "n_shingles", *SIGNATURE,
+            "node", "component", *SIGNATURE,
         )
+        .join(texts, "node")
     )
     rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    more = _block_pairs(rows, percent).join(hub_pairs, ["a", "b"], "left_anti")
-    more = stage(_confirmed(stage(more, "block-pairs"), texts, size, percent), "links")
+    more = stage(_links_within(rows, size, percent), "links")
 
     components = connected(links.union(more))
     firsts = components.join(nodes.select("node", "first_doc"), "node")
