@@ -11,6 +11,7 @@ from recordhaul.llm.html_text import extract_pages
 from recordhaul.llm.line_dedup import drop_shared_lines
 from recordhaul.llm.merkle import edited_fingerprints
 from recordhaul.llm.minhash import near_duplicates
+from recordhaul.llm.mixing import mix
 from recordhaul.llm.packing import pack_documents
 from recordhaul.llm.quality import COUNTS, quality_verdicts
 from recordhaul.llm.secrets import scan_secrets, span_list
@@ -115,3 +116,12 @@ def op4_document_fingerprints(spark, sf_dir):
 @_query()
 def op1_html_extraction(spark, sf_dir):
     return extract_pages(_table(spark, sf_dir, "pages"))
+
+
+@_query()
+def op2_target_mixing(spark, sf_dir):
+    labels = _table(spark, sf_dir, "labels")
+    weights = {"good": 0.85, "poor": 0.10, "toxic": 0.05}
+    return mix(_table(spark, sf_dir, "documents"), labels, weights).drop(
+        "text", "lang", "source", "n_chars"
+    )
