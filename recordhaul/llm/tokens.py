@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +25,12 @@ BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
 #: A worker's memory holds so many chunks at most; it starts anew beyond that.
-REMEMBERED = 1_500_000
+REMEMBERED = 1_100_000
+#: And so many words without white space and punctuation, of which chunks are made.
+PIECES = 300_000
 
 #: UTF-8 bytes of text that are encoded at once.
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 6 << 20
 
 _IRREGULAR = (
     r"[ \n][ \n]|[ \n]\z|[\t\x{b}\x{c}\r\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}"
@@ -85,6 +87,8 @@ class ChunkEncoder:
     def _piece(self, piece: str) -> tuple[int, ...]:
         if (ids := self._pieces.get(piece)) is None:
             ids = tuple([token.id for token in self._model.tokenize(piece)])
+            if len(self._pieces) >= PIECES:
+                self._pieces.clear()
             self._pieces[piece] = ids
         return ids
 
@@ -117,17 +121,14 @@ class ChunkEncoder:
         self._start = np.concatenate([self._start, ends])
         self._ids = np.concatenate([self._ids, np.array([x for y in ids for x in y], np.uint32)])
 
-    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text, as unsigned 32-bit integers; none for a null or empty text."""
         texts = pc.fill_null(texts.cast(pa.string()), "")
         lengths = pc.binary_length(texts).to_numpy(zero_copy_only=False)
         group = np.cumsum(lengths) // BATCH_BYTES
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
-        return [
-            ids
-            for begin, end in zip(cuts, cuts[1:], strict=False)
-            for ids in self._encode(texts.slice(begin, end - begin))
-        ]
+        for begin, end in zip(cuts, cuts[1:], strict=False):
+            yield from self._encode(texts.slice(begin, end - begin))
 
     def _encode(self, texts: pa.Array) -> list[np.ndarray]:
         if not len(texts):
@@ -147,7 +148,8 @@ class ChunkEncoder:
         which = chunks.indices.to_numpy()
         starts, counts = starts[which], counts[which]
         ends = np.cumsum(counts)
-        gather = np.arange(ends[-1]) + np.repeat(starts - (ends - counts), counts)
+        gather = np.repeat((starts - (ends - counts)).astype(np.int32), counts)
+        gather += np.arange(len(gather), dtype=np.int32)
         ids = self._ids[gather]
         bounds = np.concatenate([[0], ends])[pieces.offsets.to_numpy()].tolist()
         lead = len(self.whole("\n"))
