@@ -37,6 +37,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Null, empty and short texts are rejected; rows are judged by their own text, also where they
     share a ``doc_id`` or have none.
     """
+    docs = _documents(docs)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     kept = quality_verdicts(docs, labels).where("kept")
     kept = kept.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"))
@@ -49,7 +50,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ``n_chars`` becomes that of the reduced text. A null text becomes an empty one.
     """
-    reduced = drop_shared_lines(docs)
+    reduced = drop_shared_lines(_documents(docs))
     return _documents(reduced.withColumn("n_chars", F.char_length("text").cast("long")))
 
 

@@ -45,9 +45,9 @@ def drop_shared_lines(documents: DataFrame, min_chars: int = 40, min_documents:
     Null text counts as empty, which is one empty line. Rows without ``doc_id`` count as no
     document and lose nothing. Rows that share a ``doc_id`` count as one document; each is
     reduced by its own lines. Other columns are carried along, save any of the names
-    ``n_lines`` and ``n_dropped``, which are replaced.
+    ``n_lines`` and ``n_dropped``, which are replaced, and ``_row`` and ``_dropped``, which go.
     """
-    source = documents.drop("n_lines", "n_dropped").withColumn("text", F.coalesce("text", F.lit("")))
+    source = documents.drop("n_lines", "n_dropped", "_row", "_dropped").withColumn("text", F.coalesce("text", F.lit("")))
     source = source.withColumn("_row", F.xxhash64("text"))
     lines = source.select("doc_id", "_row", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     keyed = (

@@ -33,9 +33,9 @@ POWERS = (0.0, 0.25, 0.5)
 CERTAIN = 3.0
 #: Log odds of a word below which it is passed over.
 LEAST_ODDS = 1.0
-#: Most gradient steps, the share of all tokens by which a domain may end off its target, and how far
-#: a step must bring the squares down.
-STEPS, NEAR, SHRINK = 40, 1e-5, 0.98
+#: Most gradient steps tried, the share of all tokens by which a domain may end off its target, and how
+#: far a step must bring the squares down for another one.
+TRIES, NEAR, STALLED = 25, 1e-5, 0.97
 
 DOMAINS = ("good", "poor", "toxic")
 
@@ -191,12 +191,12 @@ def fit_steps(
 ) -> list[list[float]]:
     """Projected gradient steps toward the targets, as a number for each domain and step.
 
-    With the distance ``e = totals - targets`` and ``W`` the inverse of the domains' curvature
-    ``sum(tokens * p * p')``, the squares ``e' W e`` have the gradient ``tokens * p' W e`` by a rate. A step
-    goes by it per token; in that measure the curvature is 1 at most, so a step of 1 never
-    leads away. Once rates lie at a bound, the curvature of the others gives longer steps; they are tried
-    first and given up for good where one makes the squares larger. The steps end at the targets, or
-    where the squares grow no smaller, as targets may be out of reach.
+    They bring down the squares ``sum(w * e ** 2)`` of the distances ``e = totals - targets``, with ``w`` 1
+    over the target. The gradient by a rate is ``tokens`` times a sum of ``p * e`` over domains; a step goes
+    by it per token, in the measure of the curvature of the rates between their bounds. A step that
+    leads away is taken back and tried again with the measure damped, which makes it shorter and
+    more like the plain gradient. The steps end at the targets, or where they hardly lead on, as
+    targets may be out of reach.
     """
     size = range(len(names))
     pairs = [(j, k) for j in size for k in size if j <= k]
@@ -213,23 +213,27 @@ def fit_steps(
         found = [x or 0.0 for x in scored.agg(*sums).first()]
         products = dict(zip(pairs, found[len(names) :], strict=True))
         curve = np.array([[products[min(j, k), max(j, k)] for k in size] for j in size])
-        return np.subtract(found[: len(names)], targets), np.linalg.pinv(curve)
+        return np.subtract(found[: len(names)], targets), curve
 
     steps: list[list[float]] = []
-    away, whole = look()
-    inverse, longer = whole, True
-    best = float(away @ whole @ away)
-    while len(steps) < STEPS and np.abs(away).max() > NEAR * sum(targets):
-        steps.append([float(x) for x in inverse @ away])
-        next_away, active = look()
-        squares = float(next_away @ whole @ next_away)
-        if squares > best and longer and len(steps) > 1:
+    weight = np.array([1 / t if t > 0 else 1 / max(sum(targets), 1.0) for t in targets])
+    away, curve = look()
+    best, damping = float(weight @ away**2), 0.0
+    for _ in range(TRIES):
+        if np.abs(away).max() <= NEAR * sum(targets) or not curve.any() or damping > 1e4:
+            break
+        measure = curve + damping * np.diag(np.diag(curve))
+        steps.append([float(x) for x in np.linalg.pinv(measure) @ away])
+        next_away, next_curve = look()
+        squares = float(weight @ next_away**2)
+        if squares >= best:
             steps.pop()
-            inverse, longer = whole, False
+            damping = max(0.05, damping * 8)
             continue
-        if squares > best * SHRINK:
+        hardly = squares > best * STALLED
+        away, curve, best, damping = next_away, next_curve, squares, damping / 4
+        if hardly:
             break
-        away, best, inverse = next_away, squares, active if longer else whole
     return steps
 
 
@@ -252,11 +256,13 @@ def mix(
 
     ``labels`` has ``doc_id``, ``quality`` and ``toxic``; without any, all domains are equally
     likely. Null and empty texts have no token; their rate follows from the domains' shares.
-    Repeated rows get equal values. Columns of the names added are replaced.
+    Repeated rows get equal values. Columns of the names added are replaced; other names
+    that begin with ``_`` may be used on the way, and columns of such names go.
     """
     domains = tuple(weights)
     names = [f"p_{d}" for d in domains]
     documents = documents.drop("n_tokens", *names, "rate", "copies")
+    documents = documents.select(*(c for c in documents.columns if not c.startswith("_")))
     model = train(documents, labels, domains, max_labels)
     probable = lambda table: model.probabilities(model.evidence(_features(table)))
     scored = stage(probable(documents.select("text")).select("n_tokens", *names), "memberships")

@@ -81,6 +81,7 @@ def decode_blocks(data: bytes, first: int = 0, last: int | None = None) -> np.nd
     """The ids of blocks ``first`` to ``last`` (exclusive; null: all)."""
     count, index, patches, packed = _parts(data)
     last = len(index) if last is None else min(last, len(index))
+    first = min(first, last)
     before = np.concatenate([[0], np.cumsum(index["patched"], dtype=np.int64)])
     patches = patches[before[first] : before[last]]
     index = index[first:last]
@@ -99,7 +100,7 @@ def decode_blocks(data: bytes, first: int = 0, last: int | None = None) -> np.nd
     row = np.repeat(np.arange(len(index)), index["patched"])
     out[row, patches["place"]] |= patches["high"] << index["width"][row].astype(np.uint32)
     ids = (out + index["least"][:, None]).reshape(-1)
-    return ids[: count - first * BLOCK]
+    return ids[: max(0, count - first * BLOCK)]
 
 
 def write_token_files(
