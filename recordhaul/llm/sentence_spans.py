@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -32,30 +33,40 @@ LONG = 24
 #: One in so many words ends a piece of a long sentence.
 ONE_IN = 8
 
-_SENTENCES = re.compile(r"[^\n]+?(?:[.!?]+(?=\s|\Z)|(?=\n)|\Z)")
+_END = re.compile(r"[.!?]+(?=\s)|\n")
 _WORD = re.compile(r"\S+")
 
 
-def sentence_spans(text: str) -> list[tuple[int, int, int, bytes]]:
-    """``(start, end, words, digest)`` of each sentence; white space between them is in none."""
+def sentence_spans(text: str) -> list[tuple[int, int, bytes]]:
+    """``(start, words, digest)`` of each sentence; it goes on to the start of the next one."""
     out = []
-    for match in _SENTENCES.finditer(text):
-        words = match.group().lower().split()
-        if not words:
-            continue
-        begin = match.start() + len(match.group()) - len(match.group().lstrip())
-        end = match.start() + len(match.group().rstrip())
-        if len(words) <= LONG:
-            out.append((begin, end, len(words), xxhash.xxh3_128_digest(" ".join(words))))
-            continue
-        at = [m.span() for m in _WORD.finditer(text, begin, end)]
-        first = 0
-        for n, (a, b) in enumerate(at):
-            word = text[a:b].lower()
-            if n + 1 == len(at) or xxhash.xxh3_64_intdigest(word) % ONE_IN == 0:
-                piece = text[at[first][0] : b].lower().split()
-                out.append((at[first][0], b, len(piece), xxhash.xxh3_128_digest(" ".join(piece))))
-                first = n + 1
+    begin = 0
+    for end in [*(m.end() for m in _END.finditer(text)), len(text)]:
+        piece = text[begin:end]
+        words = piece.lower().split()
+        if words:
+            if len(words) <= LONG:
+                start = begin + len(piece) - len(piece.lstrip())
+                out.append((start, len(words), xxhash.xxh3_128_digest(" ".join(words))))
+            else:
+                out += _pieces(text, begin, end)
+        begin = end
+    return out
+
+
+def _pieces(text: str, begin: int, end: int) -> list[tuple[int, int, bytes]]:
+    """A long sentence, cut behind words that their hash chooses."""
+    out, held, start = [], [], begin
+    for match in _WORD.finditer(text, begin, end):
+        word = match.group().lower()
+        if not held:
+            start = match.start()
+        held.append(word)
+        if xxhash.xxh3_64_intdigest(word) % ONE_IN == 0:
+            out.append((start, len(held), xxhash.xxh3_128_digest(" ".join(held))))
+            held = []
+    if held:
+        out.append((start, len(held), xxhash.xxh3_128_digest(" ".join(held))))
     return out
 
 
@@ -91,28 +102,25 @@ def _hashed_runs(documents: DataFrame, min_words: int) -> DataFrame:
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            rows = batch.column("row").to_pylist()
-            columns: list[list[int]] = [[], [], [], [], []]
-
-            def flush(columns=columns) -> pa.RecordBatch:
-                made = [pa.array(c, pa.int64()) for c in columns]
-                for c in columns:
-                    c.clear()
-                return pa.RecordBatch.from_arrays(made, names=["h1", "h2", "doc_id", "row", "place"])
-
-            for doc_id, row, text in zip(ids, rows, batch.column("text"), strict=True):
+            digests: list[bytes] = []
+            places: list[int] = []
+            owner: list[int] = []
+            for n, text in enumerate(batch.column("text")):
                 sentences = sentence_spans(text.as_py() or "")
-                for first, last in runs([s[2] for s in sentences], min_words):
-                    digest = xxhash.xxh3_128_digest(b"".join(s[3] for s in sentences[first : last + 1]))
-                    columns[0].append(int.from_bytes(digest[:8], "little", signed=True))
-                    columns[1].append(int.from_bytes(digest[8:], "little", signed=True))
-                    columns[2].append(doc_id)
-                    columns[3].append(row)
-                    columns[4].append(first << 24 | last - first)
-                if len(columns[0]) > 50_000:
-                    yield flush()
-            yield flush()
+                own = [s[2] for s in sentences]
+                for first, last in runs([s[1] for s in sentences], min_words):
+                    digests.append(xxhash.xxh3_128_digest(b"".join(own[first : last + 1])))
+                    places.append(first << 24 | last - first)
+                owner += [n] * (len(places) - len(owner))
+                if len(places) > 100_000 or n + 1 == len(batch):
+                    halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+                    ids = [batch.column(c).take(pa.array(owner, pa.int64())) for c in ("doc_id", "row")]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(halves[:, 0]), pa.array(halves[:, 1]), *ids, pa.array(places, pa.int64())],
+                        names=["h1", "h2", "doc_id", "row", "place"],
+                    )
+                    for x in (digests, places, owner):
+                        x.clear()
 
     return documents.select("doc_id", F.xxhash64("text").alias("row"), "text").mapInArrow(
         make, "h1 long, h2 long, doc_id long, row long, place long"
@@ -120,16 +128,16 @@ def _hashed_runs(documents: DataFrame, min_words: int) -> DataFrame:
 
 
 def drop_repeated_spans(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``documents`` with ``text`` reduced, and ``n_sentences`` (before) and ``n_removed`` added.
+    """``documents`` with ``text`` reduced, and ``n_removed``, its removed sentences, added.
 
     The first place of a run is the one of the smallest ``doc_id``, in it the earliest. A removed
     sentence goes with the white space behind it. Null or empty text has no sentence and becomes
     empty. Rows without ``doc_id`` count as the smallest one. Rows that repeat both ``doc_id`` and
     text are one document, and all or none of them keep a sentence; exact copies under other ids
-    lose all that a run covers. Other columns are carried along, save any named ``n_sentences`` or
-    ``n_removed``, which are replaced.
+    lose all that a run covers. Other columns are carried along, save any named
+    ``n_removed``, which is replaced, and ``_id``, ``_row`` and ``_covered``, which go.
     """
-    source = documents.drop("n_sentences", "n_removed").withColumn("text", F.coalesce("text", F.lit("")))
+    source = documents.drop("n_removed", "_id", "_row", "_covered").withColumn("text", F.coalesce("text", F.lit("")))
     source = source.withColumn("doc_id", F.col("doc_id").cast("long"))
     found = _hashed_runs(source, min_words)
     place = F.struct("doc_id", "row", "place")
@@ -145,31 +153,28 @@ def drop_repeated_spans(documents: DataFrame, min_words: int = MIN_WORDS) -> Dat
     joined = source.join(
         covered, source.doc_id.eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_row")), "left"
     ).drop("_id", "_row")
-    schema = source.schema.add("n_sentences", "long").add("n_removed", "long")
+    schema = source.schema.add("n_removed", "long")
     names = [field.name for field in schema]
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, totals, removed = [], [], []
-            pairs = zip(batch.column("text"), batch.column("_covered"), strict=True)
-            for text, places in ((t.as_py(), p.as_py()) for t, p in pairs):
-                sentences = sentence_spans(text)
-                gone = set()
-                for p in places or ():
-                    gone.update(range(p >> 24, (p >> 24) + (p & 0xFFFFFF) + 1))
-                totals.append(len(sentences))
-                removed.append(len(gone))
-                if gone:
-                    kept, at = [], 0
-                    for n, (begin, _, _, _) in enumerate(sentences):
-                        stop = sentences[n + 1][0] if n + 1 < len(sentences) else len(text)
-                        if n in gone:
-                            kept.append(text[at:begin])
-                            at = stop
-                    text = "".join([*kept, text[at:]])
-                texts.append(text)
-            made = {"text": pa.array(texts, pa.string()), "n_sentences": pa.array(totals, pa.int64()),
-                    "n_removed": pa.array(removed, pa.int64())}
+            texts, removed = batch.column("text"), [0] * len(batch)
+            changed: dict[int, str] = {}
+            for n, places in enumerate(batch.column("_covered")):
+                if not places.is_valid:
+                    continue
+                text = texts[n].as_py()
+                starts = [s[0] for s in sentence_spans(text)] + [len(text)]
+                gone = {
+                    k for p in places.as_py() for k in range(p >> 24, (p >> 24) + (p & 0xFFFFFF) + 1)
+                }
+                stay = [k for k in range(len(starts) - 1) if k not in gone]
+                head = text[: starts[0]]
+                changed[n] = head + "".join(text[starts[k] : starts[k + 1]] for k in stay)
+                removed[n] = len(gone)
+            if changed:
+                texts = pa.array([changed.get(n, x) for n, x in enumerate(texts.to_pylist())], pa.string())
+            made = {"text": texts, "n_removed": pa.array(removed, pa.int64())}
             yield pa.RecordBatch.from_arrays(
                 [made[n] if n in made else batch.column(n) for n in names], names=names
             )
