@@ -21,11 +21,20 @@ def upsert(target: DataFrame | None, changes: DataFrame, key: str, order: Sequen
     """Put ``changes`` over ``target``: per key the row that is last in ``order`` wins.
 
     ``order`` must be a total order present in both, so the result depends neither on
-    how changes are cut into batches nor on how often one is applied.
+    how changes are cut into batches nor on how often one is applied. ``target`` holds one row
+    per key, as an upsert leaves it. Only the rows of changed keys are compared. The others pass by: where Spark can broadcast the changed keys, nothing of
+    the target is shuffled but the rows that have one. The target is read twice.
     """
-    if target is not None:
-        changes = target.unionByName(changes, allowMissingColumns=True)
-    return latest_per_key(changes, key, order)
+    if target is None:
+        return latest_per_key(changes, key, order)
+    keys = changes.select(F.col(key).alias("_changed")).distinct()
+    same = target[key].eqNullSafe(F.col("_changed"))
+    touched = target.join(keys, same, "left_semi")
+    winners = latest_per_key(
+        touched.unionByName(changes, allowMissingColumns=True), key, order
+    )
+    untouched = target.join(keys, same, "left_anti")
+    return untouched.unionByName(winners, allowMissingColumns=True)
 
 
 def document_id(id_column: Column, topic: Column, partition: Column, offset: Column) -> Column:
@@ -80,8 +89,13 @@ def delete_keys(target: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 
 
 def missing_keys(target: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Keys to update or delete that the target does not have."""
-    return keys.select(key).distinct().join(target.select(key), key, "left_anti")
+    """Keys to update or delete that the target does not have.
+
+    The target is first cut down to the keys asked for, which Spark broadcasts if they are few.
+    """
+    wanted = keys.select(key).distinct()
+    found = target.select(key).join(wanted, key, "left_semi").distinct()
+    return wanted.join(found, key, "left_anti")
 
 
 def conform_to_mapping(df: DataFrame, mapping: dict, bad: str = "bad_fields") -> DataFrame:

@@ -9,21 +9,19 @@ from recordhaul.functions import jsonl, text, times
 from recordhaul.operators.once import evaluate_once
 from recordhaul.schemas import (
     DEFAULT_ACCOUNT,
-    MAX_LINE_BYTES,
     RECORD_FIELDS,
     TEXT_FIELDS,
     TIME_FIELDS,
 )
-from recordhaul.session import stage
 
 
-def parse_records(lines: DataFrame, max_line_bytes: int = MAX_LINE_BYTES) -> DataFrame:
+def parse_records(lines: DataFrame, max_line_bytes: int | None = None) -> DataFrame:
     """Parse ``value`` into the input fields; ``reason`` says why a line is refused.
 
     Every field must have its type, also those that are overwritten later. Unknown
     fields are ignored, missing and null ones allowed. Names are matched exactly.
     """
-    too_long = F.octet_length("value") >= max_line_bytes
+    too_long = F.lit(False) if max_line_bytes is None else F.octet_length("value") >= max_line_bytes
     readable = F.when(~too_long, F.col("value"))
     body = lines.withColumn("_utf8", text.drop_invalid_utf8(readable)).withColumn(
         "_body", jsonl.repair_surrogates(F.col("_utf8"))
@@ -114,28 +112,6 @@ def ingest_rejects(cleaned: DataFrame) -> DataFrame:
 
 
 def mark_kept(cleaned: DataFrame) -> DataFrame:
-    """Rows to stage: accepted ones and the over-long lines that end a file, marked in order."""
-    kept = cleaned.filter(F.col("reason").isNull() | (F.col("reason") == "too_long"))
+    """Accepted rows to stage, marked in order."""
+    kept = cleaned.filter(F.col("reason").isNull())
     return kept.withColumn("kept_seq", F.monotonically_increasing_id())
-
-
-def cut_files(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Drop each file's rows from its first over-long line on.
-
-    Returns the rows that stay and the files that were cut short.
-    """
-    place = F.struct("block_start", "seq")
-    # At most a row per file, and written, so that Spark knows the size it joins with.
-    cut = stage(
-        staged.filter(F.col("reason") == "too_long")
-        .groupBy("file")
-        .agg(F.min(place).alias("_cut")),
-        "cut",
-    )
-    rows = (
-        staged.filter(F.col("reason").isNull())
-        .join(cut, "file", "left")
-        .filter(F.col("_cut").isNull() | (place < F.col("_cut")))
-        .drop("_cut", "reason")
-    )
-    return rows, cut.select("file")

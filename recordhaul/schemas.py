@@ -22,8 +22,6 @@ ARTICLE_MAPPING = {
 TITLE_LENGTH = 15
 DEFAULT_ACCOUNT = 1
 BATCH_SIZE = 3000
-MAX_ROWS = 12_000_000
-MAX_LINE_BYTES = 24 * 1024 * 1024
 FETCH_SIZE = 10_000
 PAGE_SIZE = 100
 TOPIC_PARTITIONS = 3

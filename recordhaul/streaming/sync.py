@@ -142,11 +142,28 @@ def _bases(spark: SparkSession, root: str) -> list[int]:
     return sorted(int(path.split("through=")[-1].split("/")[0]) for path in done)
 
 
+def _batches(spark: SparkSession, pattern: str) -> set[int]:
+    found = matches(spark, pattern)
+    return {int(path.split("batch_id=")[-1].split("/")[0]) for path in found}
+
+
+def _committed(spark: SparkSession, root: str) -> list[int]:
+    """Batches whose changes are in, up to the first one that broke off and will be run again.
+
+    A batch whose write was given up has its totals and no changes, and stops nothing.
+    """
+    done = _batches(spark, f"{root}/changes/batch_id=*/_SUCCESS")
+    settled = done | _batches(spark, f"{root}/totals/batch_id=*/_SUCCESS")
+    broken = _batches(spark, f"{root}/changes/batch_id=*") - settled
+    return sorted(batch for batch in done if not broken or batch < min(broken))
+
+
 def _changes(spark: SparkSession, root: str, after: int | None) -> DataFrame | None:
-    if not finished(spark, f"{root}/changes"):
+    batches = [n for n in _committed(spark, root) if after is None or n > after]
+    if not batches:
         return None
-    changes = spark.read.parquet(f"{root}/changes")
-    return changes if after is None else changes.filter(F.col("batch_id") > after)
+    folders = [f"{root}/changes/batch_id={n}" for n in batches]
+    return spark.read.option("basePath", f"{root}/changes").parquet(*folders)
 
 
 def current_documents(
@@ -166,15 +183,15 @@ def current_documents(
 
 
 def compact(spark: SparkSession, root: str, order: Sequence[str] = DEFAULT_ORDER) -> int | None:
-    """Write a base that holds everything up to the newest batch; returns that batch id.
+    """Write a base that holds everything up to the newest committed batch; returns its id.
 
     Older bases and batches stay as they are; readers take the newest finished base.
     """
     bases = _bases(spark, root)
-    changes = _changes(spark, root, bases[-1] if bases else None)
-    newest = None if changes is None else changes.agg(F.max("batch_id")).first()[0]
-    if newest is None:
+    newest = max(_committed(spark, root), default=None)
+    if newest is None or (bases and newest <= bases[-1]):
         return bases[-1] if bases else None
+    changes = _changes(spark, root, bases[-1] if bases else None)
     rows = changes.filter(F.col("batch_id") <= newest).drop("batch_id")
     if bases:
         rows = rows.unionByName(spark.read.parquet(f"{root}/base/through={bases[-1]}"))

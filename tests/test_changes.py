@@ -44,6 +44,22 @@ def test_upsert_takes_new_columns(spark):
     assert as_set(changes.upsert(target, change, "id", ["n"])) == {(1, 1, "a", None), (2, 2, None, "b")}
 
 
+def test_few_changes_leave_the_target_in_place(spark, tmp_path):
+    wide = spark.range(5000).selectExpr("id", "0 AS n", "repeat('x', 20) AS wide")
+    wide.write.parquet(str(tmp_path / "target"))
+    target = spark.read.parquet(str(tmp_path / "target"))
+    rows = [(7, 1, "new"), (9999, 1, "more"), (None, 1, "none")]
+    spark.createDataFrame(rows, target.schema).write.parquet(str(tmp_path / "change"))
+    change = spark.read.parquet(str(tmp_path / "change"))  # of a size that Spark knows
+    made = changes.upsert(target, change, "id", ["n"])
+    rows = {row["id"]: row["wide"] for row in made.collect()}
+    assert len(rows) == 5002 and rows[7] == "new" and rows[9999] == "more" and rows[None] == "none"
+    plan = made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+    lost = changes.missing_keys(target, change, "id").collect()
+    assert {row["id"] for row in lost} == {9999, None}
+
+
 def test_merge_fields(spark):
     target = spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, "c", "z")], "id int, s string, t string")
     patch = spark.createDataFrame(

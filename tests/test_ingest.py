@@ -116,7 +116,8 @@ def loaded(spark, folder):
 
 
 def manifest(spark, folder):
-    return sorted(row["file"][-7:] for row in spark.read.parquet(str(folder / "done")).collect())
+    noted = spark.read.parquet(str(folder / "done")).filter("taken IS NULL").collect()
+    return sorted(row["file"][-7:] for row in noted)
 
 
 ALL = [f"a{n}" for n in range(700)] + [f"b{n}" for n in range(50)]
@@ -153,26 +154,42 @@ def test_broken_off_load_is_replaced(spark, folder, monkeypatch):
     with pytest.raises(OSError):
         load(spark, folder)
     monkeypatch.undo()
+    first = loaded(spark, folder)
     load(spark, folder)
-    assert [origin for _, origin in loaded(spark, folder)] == ALL
+    assert loaded(spark, folder) == first == list(enumerate(ALL, 1))
 
 
 @pytest.mark.parametrize("limit", [1, 700, 720, 5000])
 def test_cap_cuts_in_file_order_and_keeps_the_manifest_honest(spark, folder, limit):
-    load(spark, folder, max_rows=limit)
+    report = load(spark, folder, max_rows=limit)
+    assert report.left == max(0, 750 - limit)
     assert loaded(spark, folder) == list(enumerate(ALL, 1))[:limit]
     whole = [name for name, last in (("a.jsonl", 700), ("b.jsonl", 750)) if limit >= last]
     assert manifest(spark, folder) == [*whole, "c.jsonl"]
 
 
-def test_a_line_too_long_ends_its_file(spark, folder):
+def test_capped_loads_go_on_where_the_last_one_ended(spark, folder):
+    for load_id in ("one", "two", "three"):
+        load(spark, folder, load_id, max_rows=300)
+    assert loaded(spark, folder) == list(enumerate(ALL, 1))
+    assert load(spark, folder, "four") is None
+
+
+def test_manifest_without_markers_is_an_error(spark, folder):
+    load(spark, folder)
+    for marker in (folder / "done").glob("*/*_SUCCESS*"):
+        marker.unlink()
+    with pytest.raises(ValueError):
+        load(spark, folder, "two")
+
+
+def test_a_line_too_long_is_refused_alone(spark, folder):
     path = folder / "in" / "a.jsonl"
     lines = path.read_text().split("\n")
     lines.insert(400, json.dumps({"id": "long", "content": "x" * 5000}))
     path.write_text("\n".join(lines))
     report = load(spark, folder, max_line_bytes=4096)
     assert report.refused["too_long"] == 1
-    before = [json.loads(line)["id"] for line in lines[:400] if line != "broken"]
-    expected = before + [f"b{n}" for n in range(50)]
-    assert loaded(spark, folder) == list(enumerate(expected, 1))
-    assert manifest(spark, folder) == ["b.jsonl", "c.jsonl"]
+    assert loaded(spark, folder) == list(enumerate(ALL, 1))
+    assert manifest(spark, folder) == ["a.jsonl", "b.jsonl", "c.jsonl"]
+    assert load(spark, folder, "two") is None

@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -137,3 +138,21 @@ def test_full_load_through_the_log(spark, tmp_path):
     log, root = str(tmp_path / "log"), str(tmp_path / "root")
     documents = full_load_through_log(spark, articles, log, root)
     assert sorted(row["id"] for row in documents.collect()) == list(range(1, 200))
+
+
+def test_compaction_stops_at_a_batch_that_broke_off(spark, places):
+    log, root = places
+    for n, name in enumerate("abc"):
+        put(spark, log, name, [(n, doc(n, f"t{n}"))])
+        run(spark, log, root)
+    whole = titles(spark, root)
+    marks = [Path(f"{root}/{kind}/batch_id=1/_SUCCESS") for kind in ("changes", "totals")]
+    for mark in marks:
+        mark.unlink()
+    assert sync.compact(spark, root) == 0
+    assert titles(spark, root) == {"0": "t0"}
+    for mark in marks:  # the batch is delivered again
+        mark.touch()
+    assert titles(spark, root) == whole
+    assert sync.compact(spark, root) == 2
+    assert titles(spark, root) == whole
