@@ -4,9 +4,10 @@ A classifier trained on the labelled table gives each document a probability for
 gradient steps then fit a rate of 0 or more to each document so that the expected tokens of
 every domain, summed over ``rate * tokens * probability``, match the targets in least squares.
 
-The classifier is a naive Bayes one on the hashed words that a text holds and on three levels of simple rates, of ``BUCKETS`` and
-a few numbers per domain; it is trained on at most ``max_labels`` labelled rows, which bounds the broadcast
-that finds their texts. How strongly the words count is chosen by log loss on a quarter of them.
+The classifier is a naive Bayes one on the hashed words that a text holds and on three levels of simple
+rates; it is trained on at most ``max_labels`` labelled rows, which bounds the broadcast that finds
+their texts. Words are counted in ``BUCKETS``; those that tell are kept in ``SLOTS``. How strongly
+they count is chosen by log loss on a quarter of the rows.
 
 A gradient step needs one sum per domain over all documents, so a step is one aggregation of a narrow
 table; the rates are never stored, as they follow from a document's probabilities and the steps taken.
@@ -14,6 +15,7 @@ table; the rates are never stored, as they follow from a document's probabilitie
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from math import log
 
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from recordhaul.session import stage
 
-BUCKETS = 1 << 18
+BUCKETS, SLOTS = 1 << 18, 1 << 14
 LEVELS = 8
 SYMBOLS = "#*$%&|<>"
 #: Tried for the weight of the words: a factor, and the power of their number that divides it.
@@ -66,7 +68,7 @@ def _features(documents: DataFrame) -> DataFrame:
         F.col("_chars") / some - 2,
     )
     level = lambda x: F.least(F.greatest(F.floor(x), F.lit(0)), F.lit(LEVELS - 1)).cast("int")
-    places = [level(x) + BUCKETS + n * LEVELS for n, x in enumerate(rates)]
+    places = [level(x) + n * LEVELS for n, x in enumerate(rates)]
     hashed = F.transform("_parts", lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
     out = out.withColumns({"_words": F.array_distinct(hashed), "_rates": F.array(*places)})
     return out.drop("_parts", "_chars", "_symbols")
@@ -79,32 +81,52 @@ def _numbers(values: list[float]) -> Column:
 
 @dataclass
 class Classifier:
-    """Log odds of hashed words and levels against the first domain, and those of the domains."""
+    """Log odds of hashed words and of levels against the first domain, and those of the domains.
+
+    The words that tell lie in ``SLOTS`` slots with their hash as a tag, the stronger one where two meet.
+    So the tables are of fixed size, and small enough to be constants of a plan.
+    """
 
     domains: tuple[str, ...]
     prior: list[float]
-    weights: list[list[float]]
+    words: dict[int, list[float]]
+    levels: list[list[float]]
     factor: float = 1.0
     power: float = 0.0
 
     def evidence(self, featured: DataFrame) -> DataFrame:
         """``featured`` with ``_lexical`` and ``_levels``: a sum for each domain but the first."""
-        tables = [_numbers(w) for w in self.weights]
-        names = [f"d{n}" for n in range(len(tables))]
+        names = [f"d{n}" for n in range(len(self.domains) - 1)]
+        tags = [-1.0] * SLOTS
+        slots = [[0.0] * SLOTS for _ in names]
+        for word, odds in sorted(self.words.items(), key=lambda x: max(map(abs, x[1]))):
+            tags[word % SLOTS] = float(word)
+            for table, value in zip(slots, odds, strict=True):
+                table[word % SLOTS] = value
+        tag = _numbers(tags)
         zero = F.struct(*(F.lit(0.0).alias(n) for n in names))
-        add = lambda total, at: F.struct(
-            *((total[n] + F.get(t, at)).alias(n) for n, t in zip(names, tables, strict=True))
-        )
-        return featured.withColumns(
-            {"_lexical": F.aggregate("_words", zero, add), "_levels": F.aggregate("_rates", zero, add)}
-        ).drop("_words", "_rates")
+
+        def sums(tables: list[list[float]], found) -> Callable[[Column, Column], Column]:
+            columns = [_numbers(table) for table in tables]
+            return lambda total, at: F.struct(
+                *((total[n] + found(c, at)).alias(n) for n, c in zip(names, columns, strict=True))
+            )
+
+        word = lambda table, at: F.when(
+            F.get(tag, at % SLOTS) == at, F.get(table, at % SLOTS)
+        ).otherwise(0.0)
+        level = lambda table, at: F.get(table, at)
+        return featured.withColumns({
+            "_lexical": F.aggregate("_words", zero, sums(slots, word)),
+            "_levels": F.aggregate("_rates", zero, sums(self.levels, level)),
+        }).drop("_words", "_rates")
 
     def odds(self, factor: float, power: float) -> list[Column]:
         """Unnormalised log probabilities of the domains."""
         scale = F.lit(factor) / F.pow(F.greatest("n_tokens", F.lit(1)), F.lit(power))
         rest = [
             self.prior[n + 1] + F.col("_levels")[f"d{n}"] + scale * F.col("_lexical")[f"d{n}"]
-            for n in range(len(self.weights))
+            for n in range(len(self.domains) - 1)
         ]
         return [F.lit(self.prior[0]), *rest]
 
@@ -129,34 +151,34 @@ def train(documents: DataFrame, labels: DataFrame, domains: tuple[str, ...], max
         "_domain", "n_tokens", "_words", "_rates", (F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(4)) == 0).alias("_held")
     )
     rows = stage(rows, "labelled-words")
-    own = rows.where("NOT _held").select(
-        "_domain", F.explode(F.concat("_words", "_rates")).alias("place")
-    )
-    counts = {d: [0] * (BUCKETS + 3 * LEVELS) for d in domains}
+    learned = rows.where("NOT _held")
     each = [F.count_if(F.col("_domain") == d).alias(d) for d in domains]
-    for row in own.groupBy("place").agg(*each).collect():  # one row a bucket at most
-        for d in domains:
-            counts[d][row["place"]] = row[d]
-    sizes = rows.where("NOT _held").agg(*each).first()
+    sizes = learned.agg(*each).first()
     prior = [log((sizes[d] + 1) / (sum(sizes) + len(domains))) for d in domains]
-    shares = {}
-    for d in domains:
-        parts = [(0, BUCKETS), *((BUCKETS + n * LEVELS, BUCKETS + (n + 1) * LEVELS) for n in range(3))]
-        shares[d] = []
-        for a, b in parts:
-            total = sum(counts[d][a:b]) + (b - a) * 0.5
-            shares[d] += [log((c + 0.5) / total) for c in counts[d][a:b]]
-    weights = [
-        [
-            # Small odds, or what may be chance in so many counts, would add up over a long text.
-            x - y
-            if abs(x - y) > max(LEAST_ODDS, CERTAIN * (1 / (n + 0.5) + 1 / (m + 0.5)) ** 0.5)
-            else 0.0
-            for x, y, n, m in zip(shares[d], shares[domains[0]], counts[d], counts[domains[0]], strict=True)
-        ]
-        for d in domains[1:]
-    ]
-    model = Classifier(domains, prior, weights)
+
+    words = learned.select("_domain", F.explode("_words").alias("place")).groupBy("place").agg(*each)
+    words = stage(words, "word-counts")
+    totals = [(t or 0) + 0.5 * BUCKETS for t in words.agg(*(F.sum(d) for d in domains)).first()]
+    telling, odds = F.lit(False), []
+    for d, total in zip(domains[1:], totals[1:], strict=True):
+        odd = F.log((F.col(d) + 0.5) / total) - F.log((F.col(domains[0]) + 0.5) / totals[0])
+        chance = F.sqrt(1 / (F.col(d) + 0.5) + 1 / (F.col(domains[0]) + 0.5)) * CERTAIN
+        # Small odds, or what may be chance in so many counts, would add up over a long text.
+        tells = F.abs(odd) > F.greatest(F.lit(LEAST_ODDS), chance)
+        odds.append(F.when(tells, odd).otherwise(0.0).alias(f"odds_{d}"))
+        telling = telling | tells
+    told = words.where(telling).select("place", *odds).collect()  # of BUCKETS rows at most
+    counts = {d: [0.5] * (3 * LEVELS) for d in domains}
+    level = learned.select("_domain", F.explode("_rates").alias("place")).groupBy("place").agg(*each)
+    for row in level.collect():  # a row a level at most
+        for d in domains:
+            counts[d][row["place"]] += row[d]
+    shares = {
+        d: [c / sum(own[n - n % LEVELS : n - n % LEVELS + LEVELS]) for n, c in enumerate(own)]
+        for d, own in counts.items()
+    }
+    levels = [[log(x / y) for x, y in zip(shares[d], shares[domains[0]], strict=True)] for d in domains[1:]]
+    model = Classifier(domains, prior, {row["place"]: list(row[1:]) for row in told}, levels)
     tried = [(f, p) for f in FACTORS for p in POWERS]
     losses = []
     for n, (factor, power) in enumerate(tried):
