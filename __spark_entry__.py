@@ -862,7 +862,7 @@ def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
         import corpus_pipeline
         from recordhaul.llm import queries as operators
     except ModuleNotFoundError as missing:
-        if missing.name not in ("corpus_pipeline", "recordhaul.llm"):
+        if not (missing.name or "").startswith(("corpus_pipeline", "recordhaul.llm")):
             raise
         return {}, {}
     found = {**operators.QUERIES, "pipeline": corpus_pipeline.run}
