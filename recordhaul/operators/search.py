@@ -174,9 +174,11 @@ def match_search(
 
 
 def _best(scored: DataFrame, key: str, size: int | None) -> DataFrame:
+    """The top hits; ties go by the key, as a number where it is one, as text or not."""
     if size is None:
         return scored
-    return scored.orderBy(F.desc("score"), key).limit(size)
+    number = F.col(key).try_cast("bigint").asc_nulls_last()
+    return scored.orderBy(F.desc("score"), number, key).limit(size)
 
 
 def _bucket(token: Column, buckets: int) -> Column:
@@ -191,8 +193,10 @@ def write_index(
     A token's bucket is a folder; within its files rows are sorted by token. The rows of
     a bucket come from ``spread`` tasks, split by document, so a word that is in every
     document fills several files. One hash shuffle: no pass to find range bounds first.
+    Every row holds the number of buckets, so that a search cannot take another one.
     """
     placed = index.withColumn("bucket", _bucket(F.col("token"), buckets))
+    placed = placed.withColumn("buckets", F.lit(buckets))
     share = F.pmod(F.xxhash64("_id"), F.lit(spread))
     spread_out = placed.repartition("bucket", share).sortWithinPartitions("bucket", "token", "_id")
     spread_out.write.mode("overwrite").partitionBy("bucket").parquet(path)
@@ -203,12 +207,13 @@ def match_postings(
     stats: DataFrame,
     text: str,
     size: int | None = None,
-    buckets: int = INDEX_BUCKETS,
 ) -> DataFrame:
     """As ``match_search``, from postings and ``index_stats``; stored ones are pruned."""
     terms = query_terms(index.sparkSession, text)
     wanted = F.col("token").isin(*terms)
     if "bucket" in index.columns:
+        first = index.select("buckets").first()
+        buckets = first["buckets"] if first else 1
         wanted = wanted & F.col("bucket").isin(*[_bucket(F.lit(term), buckets) for term in terms])
     hits = index.filter(wanted).select("_id", "token", "tf", "dl")
     # As many rows as the query has words.

@@ -95,6 +95,15 @@ def test_stored_index_is_pruned_by_token(spark, docs, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\]]*bucket", plan)
 
 
+def test_ties_and_bucket_numbers_are_those_of_the_index(spark, tmp_path):
+    docs = spark.createDataFrame([(n, "same words") for n in (100, 10, 9, 2)], "id int, body string")
+    search.write_index(search.postings(docs, "id", "body"), str(tmp_path / "index"), buckets=3)
+    index = spark.read.parquet(str(tmp_path / "index"))
+    stored = search.match_postings(index, search.index_stats(docs, index), "words", 2).collect()
+    direct = search.match_search(docs, "id", "body", "words", 2).collect()
+    assert [row["_id"] for row in stored] == [row["_id"] for row in direct] == ["2", "9"]
+
+
 def ids(frame):
     return sorted(row["id"] for row in frame.collect())
 
