@@ -719,6 +719,35 @@ def match_stored_index(spark, sf_dir):
     return search.match_postings(index, search.index_stats(documents, index), _QUERY_TEXT)
 
 
+@query(_MATCH_TOP_SQL)
+def match_stored_top(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents")
+    path = new_folder(spark, "index")
+    search.write_index(search.postings(documents, "doc_id", "text"), path)
+    index = spark.read.parquet(path)
+    return search.match_postings(index, search.index_stats(documents, index), _QUERY_TEXT, 25)
+
+
+@query(f"""
+    SELECT _id, score, doc_id, lang, source
+    FROM ({_MATCH_TOP_SQL}) JOIN documents ON _id = CAST(doc_id AS VARCHAR)""")
+def match_search_documents(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents")
+    hits = search.match_search(documents, "doc_id", "text", _QUERY_TEXT, 25).select("_id", "score")
+    return search.with_documents(hits, documents.select("doc_id", "lang", "source"), "doc_id")
+
+
+@query(f"""
+    SELECT CAST(doc_id AS VARCHAR) AS _id, doc_id, source FROM documents
+    WHERE list_contains({_TOKENS}, 'und')""")
+def term_stored_index(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents")
+    path = new_folder(spark, "index")
+    search.write_index(search.postings(documents, "doc_id", "text"), path)
+    index = spark.read.parquet(path)
+    return search.term_postings(index, documents.select("doc_id", "source"), "doc_id", "und")
+
+
 @query("""
     SELECT CAST(doc_id AS VARCHAR) AS _id, doc_id, lang, source FROM documents
     WHERE lang = 'de' ORDER BY doc_id LIMIT 50""")

@@ -202,6 +202,27 @@ def write_index(
     spread_out.write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
+def _wanted(index: DataFrame, terms: list[str]) -> Column:
+    """The postings of some tokens; of a stored index only their folders are read."""
+    wanted = F.col("token").isin(*terms)
+    if "bucket" in index.columns:
+        first = index.select("buckets").first()
+        buckets = first["buckets"] if first else 1
+        wanted = wanted & F.col("bucket").isin(*[_bucket(F.lit(term), buckets) for term in terms])
+    return wanted
+
+
+def with_documents(hits: DataFrame, documents: DataFrame, key: str) -> DataFrame:
+    """Hits with every field of their documents; a few top hits are broadcast by their size."""
+    return with_id(documents, key).join(hits, "_id")
+
+
+def term_postings(index: DataFrame, documents: DataFrame, key: str, value: str) -> DataFrame:
+    """As ``term_search`` on text, from postings: no document is cut into tokens for it."""
+    hits = index.filter(_wanted(index, [value])).select("_id").distinct()
+    return with_documents(hits, documents, key)
+
+
 def match_postings(
     index: DataFrame,
     stats: DataFrame,
@@ -210,12 +231,7 @@ def match_postings(
 ) -> DataFrame:
     """As ``match_search``, from postings and ``index_stats``; stored ones are pruned."""
     terms = query_terms(index.sparkSession, text)
-    wanted = F.col("token").isin(*terms)
-    if "bucket" in index.columns:
-        first = index.select("buckets").first()
-        buckets = first["buckets"] if first else 1
-        wanted = wanted & F.col("bucket").isin(*[_bucket(F.lit(term), buckets) for term in terms])
-    hits = index.filter(wanted).select("_id", "token", "tf", "dl")
+    hits = index.filter(_wanted(index, list(terms))).select("_id", "token", "tf", "dl")
     # As many rows as the query has words.
     frequencies = hits.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     whole = stats.first()
