@@ -19,12 +19,14 @@ from recordhaul.session import stage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
-#: Shares of expected tokens after mixing, of the domains that the first stage leaves. With the target of
-#: good documents above what there is, those that are surely good come more than once. None comes less
-#: than once, so that clean documents stay.
-MIXTURE = {"good": 0.9, "toxic": 0.1}
+#: Shares of expected tokens after mixing. They are set by what a corpus should hold, not by what these
+#: documents hold: little that is toxic, and a quarter more of good text than there is. The first stage
+#: judges what is poor.
+MIXTURE = {"good": 0.95, "toxic": 0.05}
 ANCHOR = ("good", 1.25)
-COPIES = (1.0, 4.0)
+#: Documents likelier toxic than not may go and do not come twice; all others come once at least.
+TOXIC = 0.5
+MOST = 4.0
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -73,9 +75,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def target_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their rate says: once or several times, four at most."""
+    """Documents as often as their rate says: likely toxic ones once or not at all, others up to four times."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    mixed = mix(_documents(docs), labels, MIXTURE, ANCHOR, COPIES)
+    toxic = F.col("p_toxic") > TOXIC
+    bounds = (F.when(toxic, 0.0).otherwise(1.0), F.when(toxic, 1.0).otherwise(MOST))
+    mixed = mix(_documents(docs), labels, MIXTURE, ANCHOR, bounds, at_most=("toxic",))
     copies = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))
     return _documents(mixed.withColumn("_copy", copies))
 

@@ -31,6 +31,9 @@ SYMBOLS = "#*$%&|<>"
 #: Tried for the weight of the words: a factor, and the power of their number that divides it.
 FACTORS = (0.1, 0.25, 0.5, 1.0, 2.0, 4.0)
 POWERS = (0.0, 0.25, 0.5)
+#: Tried for the log odds that every text has against the first domain besides: a text without a telling
+#: word is less likely of another domain than the shares of the domains say.
+SHIFTS = (0.0, -0.5, -1.0, -1.5, -2.0, -3.0)
 #: Standard errors by which a word's log odds differ from 0 to be used.
 CERTAIN = 3.0
 #: Log odds of a word below which it is passed over.
@@ -93,6 +96,7 @@ class Classifier:
     levels: list[list[float]]
     factor: float = 1.0
     power: float = 0.0
+    shift: float = 0.0
 
     def evidence(self, featured: DataFrame) -> DataFrame:
         """``featured`` with ``_lexical`` and ``_levels``: a sum for each domain but the first."""
@@ -121,18 +125,18 @@ class Classifier:
             "_levels": F.aggregate("_rates", zero, sums(self.levels, level)),
         }).drop("_words", "_rates")
 
-    def odds(self, factor: float, power: float) -> list[Column]:
+    def odds(self, factor: float, power: float, shift: float) -> list[Column]:
         """Unnormalised log probabilities of the domains."""
         scale = F.lit(factor) / F.pow(F.greatest("n_tokens", F.lit(1)), F.lit(power))
         rest = [
-            self.prior[n + 1] + F.col("_levels")[f"d{n}"] + scale * F.col("_lexical")[f"d{n}"]
+            self.prior[n + 1] + shift + F.col("_levels")[f"d{n}"] + scale * F.col("_lexical")[f"d{n}"]
             for n in range(len(self.domains) - 1)
         ]
         return [F.lit(self.prior[0]), *rest]
 
     def probabilities(self, evidence: DataFrame) -> DataFrame:
         """``evidence`` with ``p_<domain>`` for every domain; they sum to 1."""
-        odds = {f"_o{n}": o for n, o in enumerate(self.odds(self.factor, self.power))}
+        odds = {f"_o{n}": o for n, o in enumerate(self.odds(self.factor, self.power, self.shift))}
         out = evidence.withColumns(odds).withColumn("_top", F.greatest(*odds))
         raised = {name: F.exp(F.col(name) - F.col("_top")) for name in odds}
         out = out.withColumns(raised).withColumn("_sum", sum((F.col(o) for o in odds), F.lit(0.0)))
@@ -158,7 +162,9 @@ def train(documents: DataFrame, labels: DataFrame, domains: tuple[str, ...], max
 
     words = learned.select("_domain", F.explode("_words").alias("place")).groupBy("place").agg(*each)
     words = stage(words, "word-counts")
-    totals = [(t or 0) + 0.5 * BUCKETS for t in words.agg(*(F.sum(d) for d in domains)).first()]
+    # Shares of texts that hold a word. Of all words they would be off by the size of a domain: with as many
+    # buckets as smoothing, each common word would tell against the smaller one.
+    totals = [sizes[d] + 1.0 for d in domains]
     telling, odds = F.lit(False), []
     for d, total in zip(domains[1:], totals[1:], strict=True):
         odd = F.log((F.col(d) + 0.5) / total) - F.log((F.col(domains[0]) + 0.5) / totals[0])
@@ -179,32 +185,38 @@ def train(documents: DataFrame, labels: DataFrame, domains: tuple[str, ...], max
     }
     levels = [[log(x / y) for x, y in zip(shares[d], shares[domains[0]], strict=True)] for d in domains[1:]]
     model = Classifier(domains, prior, {row["place"]: list(row[1:]) for row in told}, levels)
-    tried = [(f, p) for f in FACTORS for p in POWERS]
+    tried = [(f, p, s) for s in SHIFTS for f in FACTORS for p in POWERS]
     losses = []
-    for n, (factor, power) in enumerate(tried):
-        odds = model.odds(factor, power)
+    for n, chosen in enumerate(tried):
+        odds = model.odds(*chosen)
         top = F.greatest(*odds)
         total = top + F.log(sum((F.exp(o - top) for o in odds), F.lit(0.0)))
         right = F.coalesce(*(F.when(F.col("_domain") == d, o) for d, o in zip(domains, odds, strict=True)))
         losses.append(F.avg(total - right).alias(f"l{n}"))
-    loss = model.evidence(rows.where("_held")).agg(*losses).first()
+    loss = stage(model.evidence(rows.where("_held")), "held-evidence").agg(*losses).first()
     best = min(range(len(tried)), key=lambda n: loss[n] if loss[n] is not None else n)
-    model.factor, model.power = tried[best]
+    model.factor, model.power, model.shift = tried[best]
     return model
 
 
-Bounds = tuple[float, float | None]
+#: The least and the most rate: numbers, or columns of a document's probabilities.
+Bounds = tuple[float | Column, float | Column | None]
+
+
+def _as_columns(bounds: Bounds) -> tuple[Column, Column | None]:
+    least, most = (F.lit(float(b)) if isinstance(b, (int, float)) else b for b in bounds)
+    return least, most
 
 
 def _rate(names: list[str], steps: list[list[float]], bounds: Bounds) -> Column:
     """The rate of a document after the steps, from its probabilities."""
-    least, most = bounds
+    least, most = _as_columns(bounds)
     rate = F.lit(1.0)
     for step in steps:
         moved = sum((F.col(n) * F.lit(s) for n, s in zip(names, step, strict=True)), F.lit(0.0))
-        rate = F.greatest(F.lit(float(least)), rate - moved)
+        rate = F.greatest(least, rate - moved)
         if most is not None:
-            rate = F.least(F.lit(float(most)), rate)
+            rate = F.least(most, rate)
     return rate
 
 
@@ -226,7 +238,7 @@ def fit_steps(
     def look() -> tuple[np.ndarray, np.ndarray]:
         rate = _rate(names, steps, bounds)
         part = rate * F.col("n_tokens")
-        least, most = bounds
+        least, most = _as_columns(bounds)
         free = rate > least if most is None else (rate > least) & (rate < most)
         free = free if steps else F.lit(True)
         moving = F.when(free, F.col("n_tokens")).otherwise(0)
@@ -266,14 +278,17 @@ def mix(
     anchor: tuple[str, float] | None = None,
     bounds: Bounds = (0.0, None),
     max_labels: int = 16_000,
+    at_most: tuple[str, ...] = (),
 ) -> DataFrame:
     """``documents`` with ``n_tokens``, ``p_<domain>``, ``rate`` and ``copies``.
 
     ``weights`` are the shares of expected tokens that the domains should have, in any unit. The sum
     of the targets is the number of all tokens; with ``anchor = (domain, factor)`` it is instead
     such that this domain's target is ``factor`` times its present expected tokens. Tokens are
-    words between white space. ``bounds`` are the least rate, from 0 to 1, and the most, if any;
-    targets that they or the documents put out of reach are met as nearly as can be. ``copies`` is the rate rounded up or down by a hash of ``doc_id``, so
+    words between white space. ``bounds`` are the least rate, from 0 to 1, and the most, 1 or more, if
+    any; either may be a column of ``p_<domain>``. Targets that they or the documents put out of reach
+    are met as nearly as can be. Domains of ``at_most`` that lie below their target are left there.
+    ``copies`` is the rate rounded up or down by a hash of ``doc_id``, so
     that its mean is the rate.
 
     ``labels`` has ``doc_id``, ``quality`` and ``toxic``; without any, all domains are equally
@@ -295,6 +310,7 @@ def mix(
         domain, factor = anchor
         total = present[domains.index(domain)] * factor * whole / weights[domain]
     targets = [total * weights[d] / whole for d in domains]
+    targets = [min(t, p) if d in at_most else t for d, t, p in zip(domains, targets, present, strict=True)]
     steps = fit_steps(scored, names, targets, bounds)
     chance = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(1 << 20)) / (1 << 20)
     up = (chance < F.col("rate") - F.floor("rate")).cast("long")

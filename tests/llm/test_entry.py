@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry
@@ -49,3 +50,25 @@ def test_stages_take_awkward_rows(spark, tmp_path):
             docs = table.selectExpr("*", "1 AS _row, 3 AS _id", "2 AS node")
             for _, function in corpus_pipeline.STAGES:
                 docs = stage(function(spark, docs, str(folder)), "trial")
+
+
+@pytest.mark.parametrize("percent", [2, 30])
+def test_mixing_stage_meets_its_shares_whatever_is_toxic(spark, tmp_path, percent):
+    random = np.random.default_rng(percent)
+    rows, labels, toxic = [], [], set()
+    for n in range(2000):
+        words = [f"w{x}" for x in random.integers(0, 400, 100)]
+        if n % 100 < percent:
+            toxic.add(n)
+            words[:3] = random.choice(["awful", "rotten", "vile", "nasty"], 3)
+        rows.append((n, " ".join(words), "en", "s", 0))
+        if n // 100 % 2:
+            labels.append((n, 1, int(n in toxic)))
+    spark.createDataFrame(labels, LABELS).write.parquet(str(tmp_path / "labels.parquet"))
+    mixed = [r["doc_id"] for r in corpus_pipeline.target_mixing(spark, documents(spark, rows), str(tmp_path)).collect()]
+    clean = set(range(2000)) - toxic
+    share = sum(n in toxic for n in mixed) / len(mixed)
+    assert clean <= set(mixed)
+    assert share < 0.06 and (percent == 2 or share > 0.02)
+    assert sum(n in toxic for n in mixed) <= len(toxic)
+    assert 1.15 < sum(n in clean for n in mixed) / len(clean) < 1.35
