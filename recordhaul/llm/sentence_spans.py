@@ -6,12 +6,14 @@ counts are reduced per task before they are shuffled, so a passage in a third of
 costs one row per task there; where the repeated hashes meet the runs again, the adaptive skew join
 splits such a passage. Texts move once, to meet the numbers of their covered sentences.
 
-A run begins at each sentence and goes on until it has ``MIN_SENTENCES`` sentences and ``min_words``
-words; where no such run ends at a sentence, the shortest one that ends there is added. So
+A run begins at each sentence and goes on until it has ``min_words`` words; where no such run ends at a sentence, the shortest one that ends there is added. So
 each sentence of a repeated passage lies in a run that the passage holds in full, if the passage is
 as long as that. Sentences end at ``.``, ``!`` or ``?`` before white space, and at line feeds;
-sentences of more than ``LONG`` words also end behind words chosen by their hash, so that text
-without full stops is cut at the same words wherever it stands.
+sentences of more than ``LONG`` words are also cut behind the word of the least hash, the last one of
+equals, in each window of ``WINDOW`` words. So text without full stops is cut at the same words wherever
+it stands, save for less than a window at its ends, and no piece is longer than a window. Of a repeated
+passage at most ``2 * WINDOW`` words at each end lie in no piece that its places share; one of 50 words
+always holds a run.
 """
 
 from __future__ import annotations
@@ -27,11 +29,9 @@ from pyspark.sql import functions as F
 
 from recordhaul.session import stage
 
-MIN_SENTENCES = 2
 MIN_WORDS = 16
-LONG = 24
-#: One in so many words ends a piece of a long sentence.
-ONE_IN = 8
+LONG = 16
+WINDOW = 8
 
 _END = re.compile(r"[.!?]+(?=\s)|\n")
 _WORD = re.compile(r"\S+")
@@ -54,19 +54,32 @@ def sentence_spans(text: str) -> list[tuple[int, int, bytes]]:
     return out
 
 
+def _cuts(hashes: list[int]) -> set[int]:
+    """The places of the least hash, the last of equals, of every window."""
+    out, least = set(), -1
+    for last in range(WINDOW - 1, len(hashes)):
+        first = last - WINDOW + 1
+        if least < first:
+            least = first
+            for n in range(first + 1, last + 1):
+                if hashes[n] <= hashes[least]:
+                    least = n
+        elif hashes[last] <= hashes[least]:
+            least = last
+        out.add(least)
+    return out
+
+
 def _pieces(text: str, begin: int, end: int) -> list[tuple[int, int, bytes]]:
-    """A long sentence, cut behind words that their hash chooses."""
-    out, held, start = [], [], begin
-    for match in _WORD.finditer(text, begin, end):
-        word = match.group().lower()
-        if not held:
-            start = match.start()
-        held.append(word)
-        if xxhash.xxh3_64_intdigest(word) % ONE_IN == 0:
-            out.append((start, len(held), xxhash.xxh3_128_digest(" ".join(held))))
-            held = []
-    if held:
-        out.append((start, len(held), xxhash.xxh3_128_digest(" ".join(held))))
+    """A long sentence, cut behind the words that winnowing chooses."""
+    found = list(_WORD.finditer(text, begin, end))
+    words = [match.group().lower() for match in found]
+    ends = _cuts([xxhash.xxh3_64_intdigest(word) for word in words]) | {len(words) - 1}
+    out, first = [], 0
+    for last in sorted(ends):
+        held = words[first : last + 1]
+        out.append((found[first].start(), len(held), xxhash.xxh3_128_digest(" ".join(held))))
+        first = last + 1
     return out
 
 
@@ -76,20 +89,20 @@ def runs(counts: list[int], min_words: int) -> list[tuple[int, int]]:
     last, words = -1, 0
     ends = set()
     for first, count in enumerate(counts):
-        while last + 1 < len(counts) and (words < min_words or last - first + 1 < MIN_SENTENCES):
+        while last + 1 < len(counts) and words < min_words:
             last += 1
             words += counts[last]
-        if words < min_words or last - first + 1 < MIN_SENTENCES:
+        if words < min_words:
             break
         found.append((first, last))
         ends.add(last)
         words -= count
     first, words = len(counts), 0
     for last in range(len(counts) - 1, -1, -1):
-        while first > 0 and (words < min_words or last - first + 1 < MIN_SENTENCES):
+        while first > 0 and words < min_words:
             first -= 1
             words += counts[first]
-        if words < min_words or last - first + 1 < MIN_SENTENCES:
+        if words < min_words:
             break
         if last not in ends:
             found.append((first, last))

@@ -141,6 +141,34 @@ def test_passage_without_full_stops_goes_too(spark):
     assert len(out[1].split()) < 40
 
 
+def _shared_words(passage, before, after):
+    """Words of the passage that two texts, which hold it, have in equal runs."""
+    found = []
+    for n in range(2):
+        cut = sentence_spans(f"{before[n]} {passage} {after[n]}")
+        every = {}
+        for a, b in runs([s[1] for s in cut], MIN_WORDS):
+            every[tuple(s[2] for s in cut[a : b + 1])] = (a, b)
+        found.append((cut, every))
+    (_, one), (cut, other) = found
+    covered = {k for key, (a, b) in other.items() if key in one for k in range(a, b + 1)}
+    return sum(cut[k][1] for k in covered)
+
+
+@pytest.mark.parametrize("distinct", [2, 3, 10, 1000])
+@pytest.mark.parametrize("stops", [0, 5, 13, 18, 23])
+def test_every_passage_of_51_words_is_found(distinct, stops):
+    for trial in range(100):
+        name = lambda n, k: f"{'abcd'[k]}{trial}x{n}"  # noqa: B023, E731
+        passage = [name(n * n * 7 % 997 % distinct, 0) for n in range(51)]
+        for n in range(trial % max(stops, 1), 51, stops or 99):
+            passage[n] += "." if stops else ""
+        # Texts of other words around it, so that it begins and ends in the middle of sentences.
+        before = [" ".join(name(n, k) for n in range(trial % 19 + 5 * k)) for k in (1, 2)]
+        after = [" ".join(name(n, k) for n in range(50, 50 + trial % 13 + 7 * k)) for k in (1, 2)]
+        assert _shared_words(" ".join(passage), before, after) >= MIN_WORDS
+
+
 def test_repeated_spans_take_awkward_rows(spark):
     out = drop_repeated_spans(clashing(documents(spark))).collect()
     found = defaultdict(list)
