@@ -1,7 +1,8 @@
 """Main text of web pages by tree scoring.
 
-A page is parsed leniently into a tree, without what never is an article (scripts, forms, menus, notices
-and the like, told by element, role or the words of class and id). Paragraphs then pass points to their
+A page is parsed leniently into a tree, without what never is an article (scripts, menus, hidden elements
+and the like). What seems to lie outside the article by the words of class and id, or is a form, goes only
+when the tree is whole, as an article may stand in it. Paragraphs then pass points to their
 ancestors, one and more for each comma and each hundred code points, less the farther off these are. An
 element's points are discounted by the share of its text that stands in links. The best container is
 widened to the ``article`` or ``main`` element around it, and siblings that score well too, are
@@ -81,12 +82,14 @@ LEAST_PARAGRAPH = 25
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "names", "score", "length", "linked")
+    __slots__ = ("tag", "parent", "children", "names", "score", "length", "linked", "beside")
 
     def __init__(self, tag: str, parent: Node | None, names: tuple[str, ...] = ()):
         self.tag, self.parent, self.names = tag, parent, names
         self.children: list[Node | str] = []
         self.score, self.length, self.linked = 0.0, 0, 0
+        #: Whether it seems to lie outside the article.
+        self.beside = False
 
     def inside(self, tags) -> bool:
         node = self
@@ -102,15 +105,22 @@ def _names(attributes: dict[str, str | None]) -> tuple[str, ...]:
     return tuple(w.lower() for w in _NAME.findall(words))
 
 
-def _outside(tag: str, attributes: dict[str, str | None], names: tuple[str, ...], parent: Node) -> bool:
-    """Whether an element holds something else than article text."""
+def _outside(tag: str, attributes: dict[str, str | None]) -> bool:
+    """Whether an element surely holds no article text."""
     if tag in ("html", "body"):
         return False
-    if tag in DROPPED or (attributes.get("role") or "").lower() in ROLES:
+    if tag in DROPPED - {"form"} or (attributes.get("role") or "").lower() in ROLES - {"form"}:
         return True
     if "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
-    if _HIDDEN.search(attributes.get("style") or ""):
+    return bool(_HIDDEN.search(attributes.get("style") or ""))
+
+
+def _beside(tag: str, attributes: dict[str, str | None], names: tuple[str, ...], parent: Node) -> bool:
+    """Whether an element seems to hold something else than article text."""
+    if tag in ("html", "body"):
+        return False
+    if tag == "form" or (attributes.get("role") or "").lower() == "form":
         return True
     if tag == "main" or not (names or tag == "header"):
         return False
@@ -123,7 +133,7 @@ def _outside(tag: str, attributes: dict[str, str | None], names: tuple[str, ...]
 
 
 class TreeBuilder(HTMLParser):
-    """Elements with their text; what lies outside articles is passed over with all it holds."""
+    """Elements with their text; what never is an article is passed over with all it holds."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -145,13 +155,15 @@ class TreeBuilder(HTMLParser):
                 pass
         attributes = dict(attrs)
         names = _names(attributes)
-        if _outside(tag, attributes, names, self.open):
+        beside = _beside(tag, attributes, names, self.open)
+        if _outside(tag, attributes) or (beside and tag in VOID):
             if tag not in VOID:
                 self.passed.append(tag)
             if tag in BLOCKS:
                 self.open.children.append(Node(tag, self.open))
             return
         node = Node(tag, self.open, names)
+        node.beside = beside
         self.open.children.append(node)
         if tag not in VOID:
             self.open = node
@@ -200,6 +212,7 @@ def _in_order(root: Node) -> list[Node]:
 def _measure(nodes: list[Node]) -> None:
     """Lengths of text, and of text in links, of every element."""
     for node in nodes[::-1]:
+        node.length = node.linked = 0
         for child in node.children:
             if isinstance(child, str):
                 node.length += len(_SPACE.sub(" ", child.strip()))
@@ -224,14 +237,21 @@ def _own_text(node: Node) -> str:
     return _SPACE.sub(" ", "".join(out)).strip()
 
 
+def _points(node: Node) -> float:
+    """What a paragraph passes to its ancestors."""
+    if node.tag not in BLOCKS or node.tag in HEADINGS:
+        return 0.0
+    text = _own_text(node)
+    if len(text) < LEAST_PARAGRAPH:
+        return 0.0
+    return (1 + text.count(",") + len(text) / 100) * (1 - _density(node))
+
+
 def _give_points(nodes: list[Node]) -> None:
     for node in nodes:
-        if node.tag not in BLOCKS or node.tag in HEADINGS:
-            continue
-        text = _own_text(node)
-        if len(text) < LEAST_PARAGRAPH:
+        points = _points(node)
+        if not points:
             continue
-        points = (1 + text.count(",") + len(text) / 100) * (1 - _density(node))
         holder = node.parent if node.tag in ("p", "pre", "blockquote", "li", "td", "dd") else node
         for level in range(1, LEVELS + 1):
             if holder is None or holder.parent is None:
@@ -240,6 +260,42 @@ def _give_points(nodes: list[Node]) -> None:
             holder = holder.parent
 
 
+def _prune(nodes: list[Node]) -> list[Node]:
+    """The elements without those that seem to lie outside the article, unless it stands in them.
+
+    It does if they hold the ``main`` element, or an ``article`` where none stands outside of such
+    elements; or the larger share of the page's points, if they are a form or hold the title ``h1``.
+    """
+    if not any(node.beside for node in nodes):
+        return nodes
+    _measure(nodes)
+    points = {}
+    holds: dict[int, set[str]] = {}
+    free = set()  # elements around which nothing seems to lie outside
+    for node in nodes:
+        if not node.beside and (node.parent is None or id(node.parent) in free):
+            free.add(id(node))
+    for node in nodes[::-1]:
+        below = [child for child in node.children if isinstance(child, Node)]
+        points[id(node)] = _points(node) + sum(points[id(child)] for child in below)
+        own = {node.tag} & {"main", "article", "h1"}
+        holds[id(node)] = own.union(*(holds[id(child)] for child in below))
+    articles = any(n.tag in ("article", "main") and id(n) in free and points[id(n)] for n in nodes)
+    total = points[id(nodes[0])]
+    for node in nodes:
+        if not node.beside:
+            continue
+        held = holds[id(node)]
+        around = not articles and "article" in held and points[id(node)] > 0
+        titled = not articles and (node.tag == "form" or "h1" in held)
+        if "main" in held or around or (titled and 2 * points[id(node)] > total):
+            continue
+        node.children = []
+        if node.tag not in BLOCKS:
+            node.parent.children = [child for child in node.parent.children if child is not node]
+    return _in_order(nodes[0])
+
+
 def _container(nodes: list[Node]) -> list[Node]:
     """The best container and the siblings that belong to it, in page order."""
     _measure(nodes)
@@ -298,7 +354,7 @@ def main_text(html: str | None) -> str:
     builder = TreeBuilder()
     builder.feed(_CUT_OFF.sub("", html))
     builder.close()
-    kept = _container(_in_order(builder.root))
+    kept = _container(_prune(_in_order(builder.root)))
     return "\n".join(text for node in kept for text in _blocks(node))
 
 

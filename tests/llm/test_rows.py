@@ -39,6 +39,26 @@ def test_main_text(html, text):
     assert main_text(html) == text
 
 
+@pytest.mark.parametrize(
+    ("before", "after"),
+    [
+        ("<form id=aspnetForm><div><h1>T</h1>", "</div><div class=sidebar><p>{}</div></form><footer>f</footer>"),
+        ("<div class='layout right-sidebar'><main><h1>T</h1>", "</main></div>"),
+        ("<div class='page nav-open'><h1>T</h1>", "<div class=comments><p>A remark, of some words.</div></div>"),
+        ("<div class='social-studies'><article><h1>T</h1>", "<form><p>q</form></article></div>"),
+    ],
+)
+def test_articles_within_what_seems_to_lie_outside(before, after):
+    page = f"{before}<p>{TEXT}</p><p>{TEXT}</p>{after.format('Beside it, in a few words of text.')}"
+    assert main_text(page) == f"T\n{TEXT}\n{TEXT}"
+
+
+def test_long_comments_stay_outside():
+    comments = f"<div id=comments>{f'<p>{TEXT}</p>' * 9}</div>"
+    assert main_text(f"<div id=content><p>{TEXT}</p></div>{comments}") == TEXT
+    assert main_text(f"<div class=banner><p>{TEXT}</p></div>") == ""
+
+
 def test_deep_and_long_pages():
     assert main_text("<div>" * 5000 + "deep") == "deep"
     long = " ".join(["word,"] * 100_000)
