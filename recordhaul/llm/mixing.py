@@ -6,7 +6,7 @@ every domain, summed over ``rate * tokens * probability``, match the targets in
 
 The classifier is a naive Bayes one on the hashed words that a text holds and on three levels of simple
 rates; it is trained on at most ``max_labels`` labelled rows, which bounds the broadcast that finds
-their texts. Words are counted in ``BUCKETS``; those that tell are kept in ``SLOTS``. How strongly
+their texts. Words are counted in ``BUCKETS``; all that tell are kept. How strongly
 they count is chosen by log loss on a quarter of the rows.
 
 A gradient step needs one sum per domain over all documents, so a step is one aggregation of a narrow
@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 
 from recordhaul.session import stage
 
-BUCKETS, SLOTS = 1 << 18, 1 << 14
+BUCKETS = 1 << 18
+#: Rows of the table of telling words: a word lies in the row of its lowest bits.
+ROWS = 1 << 10
 LEVELS = 8
 SYMBOLS = "#*$%&|<>"
 #: Tried for the weight of the words: a factor, and the power of their number that divides it.
@@ -82,12 +84,38 @@ def _numbers(values: list[float]) -> Column:
     return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
 
 
+def _integers(values: list[int]) -> Column:
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
+
+
+def displaced(words: list[int]) -> tuple[list[int], list[int]]:
+    """A sparse table of the words by ``(word % ROWS, word // ROWS)``, its rows laid over each other.
+
+    The word lies at ``shift[word % ROWS] + word // ROWS``, where the second list has the word itself, so
+    that no two words meet; free places hold -1. The fullest rows are laid first, each as far
+    to the front as it goes.
+    """
+    rows: dict[int, list[int]] = {}
+    for word in sorted(words):
+        rows.setdefault(word % ROWS, []).append(word)
+    shift, tags = [0] * ROWS, [-1] * (BUCKETS // ROWS)
+    for row, own in sorted(rows.items(), key=lambda x: (-len(x[1]), x[0])):
+        places = [word // ROWS for word in own]
+        while any(tags[shift[row] + place] >= 0 for place in places):
+            shift[row] += 1
+            if shift[row] + BUCKETS // ROWS > len(tags):
+                tags.append(-1)
+        for word, place in zip(own, places, strict=True):
+            tags[shift[row] + place] = word
+    return shift, tags
+
+
 @dataclass
 class Classifier:
     """Log odds of hashed words and of levels against the first domain, and those of the domains.
 
-    The words that tell lie in ``SLOTS`` slots with their hash as a tag, the stronger one where two meet.
-    So the tables are of fixed size, and small enough to be constants of a plan.
+    The words that tell are of ``BUCKETS`` at most, and their number follows from the labelled rows; so the
+    tables are constants of a plan.
     """
 
     domains: tuple[str, ...]
@@ -101,42 +129,37 @@ class Classifier:
     def evidence(self, featured: DataFrame) -> DataFrame:
         """``featured`` with ``_lexical`` and ``_levels``: a sum for each domain but the first."""
         names = [f"d{n}" for n in range(len(self.domains) - 1)]
-        tags = [-1.0] * SLOTS
-        slots = [[0.0] * SLOTS for _ in names]
-        for word, odds in sorted(self.words.items(), key=lambda x: max(map(abs, x[1]))):
-            tags[word % SLOTS] = float(word)
-            for table, value in zip(slots, odds, strict=True):
-                table[word % SLOTS] = value
-        tag = _numbers(tags)
+        shift, tags = displaced(list(self.words))
+        tables = [[self.words[w][n] if w >= 0 else 0.0 for w in tags] for n in range(len(names))]
         zero = F.struct(*(F.lit(0.0).alias(n) for n in names))
 
-        def sums(tables: list[list[float]], found) -> Callable[[Column, Column], Column]:
+        def sums(tables: list[list[float]], place: Callable[[Column], Column]):
             columns = [_numbers(table) for table in tables]
             return lambda total, at: F.struct(
-                *((total[n] + found(c, at)).alias(n) for n, c in zip(names, columns, strict=True))
+                *((total[n] + F.get(c, place(at))).alias(n) for n, c in zip(names, columns, strict=True))
             )
 
-        word = lambda table, at: F.when(
-            F.get(tag, at % SLOTS) == at, F.get(table, at % SLOTS)
-        ).otherwise(0.0)
-        level = lambda table, at: F.get(table, at)
+        shifts, tag = _integers(shift), _integers(tags)
+        place = lambda at: F.get(shifts, at % ROWS) + F.shiftright(at, ROWS.bit_length() - 1)
+        telling = F.filter("_words", lambda at: F.get(tag, place(at)) == at)
         return featured.withColumns({
-            "_lexical": F.aggregate("_words", zero, sums(slots, word)),
-            "_levels": F.aggregate("_rates", zero, sums(self.levels, level)),
+            "_lexical": F.aggregate(telling, zero, sums(tables, place)),
+            "_levels": F.aggregate("_rates", zero, sums(self.levels, lambda at: at)),
         }).drop("_words", "_rates")
 
-    def odds(self, factor: float, power: float, shift: float) -> list[Column]:
+    def odds(self, factor: Column, power: Column, shift: Column) -> list[Column]:
         """Unnormalised log probabilities of the domains."""
-        scale = F.lit(factor) / F.pow(F.greatest("n_tokens", F.lit(1)), F.lit(power))
+        scale = factor / F.pow(F.greatest("n_tokens", F.lit(1)), power)
         rest = [
-            self.prior[n + 1] + shift + F.col("_levels")[f"d{n}"] + scale * F.col("_lexical")[f"d{n}"]
+            F.lit(self.prior[n + 1]) + shift + F.col("_levels")[f"d{n}"] + scale * F.col("_lexical")[f"d{n}"]
             for n in range(len(self.domains) - 1)
         ]
         return [F.lit(self.prior[0]), *rest]
 
     def probabilities(self, evidence: DataFrame) -> DataFrame:
         """``evidence`` with ``p_<domain>`` for every domain; they sum to 1."""
-        odds = {f"_o{n}": o for n, o in enumerate(self.odds(self.factor, self.power, self.shift))}
+        chosen = (F.lit(self.factor), F.lit(self.power), F.lit(self.shift))
+        odds = {f"_o{n}": o for n, o in enumerate(self.odds(*chosen))}
         out = evidence.withColumns(odds).withColumn("_top", F.greatest(*odds))
         raised = {name: F.exp(F.col(name) - F.col("_top")) for name in odds}
         out = out.withColumns(raised).withColumn("_sum", sum((F.col(o) for o in odds), F.lit(0.0)))
@@ -186,15 +209,18 @@ def train(documents: DataFrame, labels: DataFrame, domains: tuple[str, ...], max
     levels = [[log(x / y) for x, y in zip(shares[d], shares[domains[0]], strict=True)] for d in domains[1:]]
     model = Classifier(domains, prior, {row["place"]: list(row[1:]) for row in told}, levels)
     tried = [(f, p, s) for s in SHIFTS for f in FACTORS for p in POWERS]
-    losses = []
-    for n, chosen in enumerate(tried):
-        odds = model.odds(*chosen)
-        top = F.greatest(*odds)
-        total = top + F.log(sum((F.exp(o - top) for o in odds), F.lit(0.0)))
-        right = F.coalesce(*(F.when(F.col("_domain") == d, o) for d, o in zip(domains, odds, strict=True)))
-        losses.append(F.avg(total - right).alias(f"l{n}"))
-    loss = stage(model.evidence(rows.where("_held")), "held-evidence").agg(*losses).first()
-    best = min(range(len(tried)), key=lambda n: loss[n] if loss[n] is not None else n)
+    # Each held row once for every choice that is tried.
+    grid = F.lit(";".join(f"{n},{f},{p},{s}" for n, (f, p, s) in enumerate(tried)))
+    held = stage(model.evidence(rows.where("_held")), "held-evidence")
+    held = held.withColumn("_choice", F.explode(F.split(grid, ";")))
+    held = held.withColumn("_choice", F.split("_choice", ",").cast("array<double>"))
+    odds = model.odds(*(F.get("_choice", n) for n in (1, 2, 3)))
+    top = F.greatest(*odds)
+    total = top + F.log(sum((F.exp(o - top) for o in odds), F.lit(0.0)))
+    right = F.coalesce(*(F.when(F.col("_domain") == d, o) for d, o in zip(domains, odds, strict=True)))
+    losses = held.groupBy(F.get("_choice", 0).cast("int")).agg(F.avg(total - right)).collect()  # a row a choice
+    loss = dict(map(tuple, losses))
+    best = min(range(len(tried)), key=lambda n: loss[n] if n in loss else n)
     model.factor, model.power, model.shift = tried[best]
     return model
 
@@ -279,6 +305,7 @@ def mix(
     bounds: Bounds = (0.0, None),
     max_labels: int = 16_000,
     at_most: tuple[str, ...] = (),
+    carry: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """``documents`` with ``n_tokens``, ``p_<domain>``, ``rate`` and ``copies``.
 
@@ -291,6 +318,9 @@ def mix(
     ``copies`` is the rate rounded up or down by a hash of ``doc_id``, so
     that its mean is the rate.
 
+    With ``carry``, the result has those columns of ``documents`` only, besides ``doc_id``: what it has is
+    written once on the way.
+
     ``labels`` has ``doc_id``, ``quality`` and ``toxic``; without any, all domains are equally
     likely. Null and empty texts have no token; their rate follows from the domains' shares.
     Repeated rows get equal values. Columns of the names added are replaced; other names
@@ -301,8 +331,10 @@ def mix(
     documents = documents.drop("n_tokens", *names, "rate", "copies")
     documents = documents.select(*(c for c in documents.columns if not c.startswith("_")))
     model = train(documents, labels, domains, max_labels)
-    probable = lambda table: model.probabilities(model.evidence(_features(table)))
-    scored = stage(probable(documents.select("text")).select("n_tokens", *names), "memberships")
+    scored = model.probabilities(model.evidence(_features(documents)))
+    carried = documents.columns if carry is None else [c for c in documents.columns if c in carry or c == "doc_id"]
+    # Written with all that the result has, as scoring is the costly part.
+    scored = stage(scored.select(*carried, "n_tokens", *names), "memberships")
     sums = [F.sum(F.col("n_tokens") * F.col(n)) for n in names]
     *present, total = (x or 0.0 for x in scored.agg(*sums, F.sum("n_tokens")).first())
     whole = sum(weights.values())
@@ -314,8 +346,6 @@ def mix(
     steps = fit_steps(scored, names, targets, bounds)
     chance = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(1 << 20)) / (1 << 20)
     up = (chance < F.col("rate") - F.floor("rate")).cast("long")
-    return (
-        probable(documents)
-        .withColumn("rate", _rate(names, steps, bounds))
-        .withColumn("copies", F.floor("rate") + up)
+    return scored.withColumn("rate", _rate(names, steps, bounds)).withColumn(
+        "copies", F.floor("rate") + up
     )

@@ -122,6 +122,4 @@ def op1_html_extraction(spark, sf_dir):
 def op2_target_mixing(spark, sf_dir):
     labels = _table(spark, sf_dir, "labels")
     weights = {"good": 0.85, "poor": 0.10, "toxic": 0.05}
-    return mix(_table(spark, sf_dir, "documents"), labels, weights).drop(
-        "text", "lang", "source", "n_chars"
-    )
+    return mix(_table(spark, sf_dir, "documents"), labels, weights, carry=("doc_id",))
