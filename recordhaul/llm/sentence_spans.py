@@ -6,149 +6,204 @@ counts are reduced per task before they are shuffled, so a passage in a third of
 costs one row per task there; where the repeated hashes meet the runs again, the adaptive skew join
 splits such a passage. Texts move once, to meet the numbers of their covered sentences.
 
-A run begins at each sentence and goes on until it has ``min_words`` words; where no such run ends at a sentence, the shortest one that ends there is added. So
+A run begins at each sentence and goes on until it has ``min_words`` words and has crossed the end of a
+sentence; where no such run ends at a sentence, the shortest one that ends there is added. So
 each sentence of a repeated passage lies in a run that the passage holds in full, if the passage is
-as long as that. Sentences end at ``.``, ``!`` or ``?`` before white space, and at line feeds;
-sentences of more than ``LONG`` words are also cut behind the word of the least hash, the last one of
-equals, in each window of ``WINDOW`` words. So text without full stops is cut at the same words wherever
-it stands, save for less than a window at its ends, and no piece is longer than a window. Of a repeated
-passage at most ``2 * WINDOW`` words at each end lie in no piece that its places share; one of 50 words
-always holds a run.
+as long as that. One sentence is no run, unless it has more than ``PASSAGE`` words and so holds a
+passage by itself.
+
+Words lie between ASCII white space, with A-Z read as a-z. A sentence ends with a word that ends in
+``.``, ``!`` or ``?``, and before a line feed. Sentences of more than ``LONG`` words are also cut into
+pieces, which then stand for sentences: behind the word of the least hash, the last one of
+equals, in each window of ``WINDOW`` words. So text is cut at the same words wherever
+it stands, save for less than a window at its ends, and no piece is longer than a window. Of a passage of 51
+words, either a sentence and a piece beside it lie whole in all its places, or a sentence of more than
+``PASSAGE`` words and so many of its pieces.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordhaul.llm.shingles import BATCH_BYTES, mix, word_places
 from recordhaul.session import stage
 
 MIN_WORDS = 16
-LONG = 16
-WINDOW = 8
+LONG = 12
+WINDOW = 12
+PASSAGE = 24
 
-_END = re.compile(r"[.!?]+(?=\s)|\n")
-_WORD = re.compile(r"\S+")
+_STOPS = np.zeros(256, bool)
+_STOPS[list(b".!?")] = True
+#: Bases of the two halves of a run's hash.
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
-def sentence_spans(text: str) -> list[tuple[int, int, bytes]]:
-    """``(start, words, digest)`` of each sentence; it goes on to the start of the next one."""
-    out = []
-    begin = 0
-    for end in [*(m.end() for m in _END.finditer(text)), len(text)]:
-        piece = text[begin:end]
-        words = piece.lower().split()
-        if words:
-            if len(words) <= LONG:
-                start = begin + len(piece) - len(piece.lstrip())
-                out.append((start, len(words), xxhash.xxh3_128_digest(" ".join(words))))
-            else:
-                out += _pieces(text, begin, end)
-        begin = end
-    return out
+@dataclass
+class Cut:
+    """The sentences and pieces of texts that lie one behind the other, as arrays.
+
+    ``start`` is the first byte of a piece, ``first`` and ``last`` its words, ``sentence`` the number of its
+    sentence, ``long`` whether that has more than ``PASSAGE`` words; pieces ``text[n]`` to ``text[n + 1]``
+    are those of text ``n``.
+    """
 
+    hashes: np.ndarray
+    start: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    sentence: np.ndarray
+    long: np.ndarray
+    text: np.ndarray
+
+
+def cut_texts(data: np.ndarray, bounds: np.ndarray) -> Cut:
+    first, last, hashes = word_places(data, bounds)
+    count = len(first)
+    none = np.zeros(0, np.int64)
+    if not count:
+        return Cut(hashes, none, none, none, none, none, np.zeros(len(bounds), np.int64))
+    words_before = np.searchsorted(first, bounds)
+    feeds = np.cumsum(data == 10)
+    ends = _STOPS[data[last]]
+    ends[:-1] |= feeds[first[1:]] > feeds[last[:-1]]
+    ends[words_before[1:][words_before[1:] > 0] - 1] = True
+    sentence = np.concatenate([[0], np.cumsum(ends[:-1])])
+    size = np.bincount(sentence)[sentence]
+    if count >= WINDOW:
+        # The last of the least: the first of the least from behind.
+        windows = np.lib.stride_tricks.sliding_window_view(hashes, WINDOW)
+        begin = np.flatnonzero((sentence[: len(windows)] == sentence[WINDOW - 1 :]) & (size[: len(windows)] > LONG))
+        ends[begin + WINDOW - 1 - np.argmin(windows[begin, ::-1], axis=1)] = True
+    piece_last = np.flatnonzero(ends)
+    piece_first = np.concatenate([[0], piece_last[:-1] + 1])
+    return Cut(
+        hashes,
+        first[piece_first],
+        piece_first,
+        piece_last,
+        sentence[piece_first],
+        size[piece_first] > PASSAGE,
+        np.searchsorted(piece_first, words_before),
+    )
 
-def _cuts(hashes: list[int]) -> set[int]:
-    """The places of the least hash, the last of equals, of every window."""
-    out, least = set(), -1
-    for last in range(WINDOW - 1, len(hashes)):
-        first = last - WINDOW + 1
-        if least < first:
-            least = first
-            for n in range(first + 1, last + 1):
-                if hashes[n] <= hashes[least]:
-                    least = n
-        elif hashes[last] <= hashes[least]:
-            least = last
-        out.add(least)
-    return out
 
+def find_runs(cut: Cut, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last piece of every run."""
+    count = len(cut.first)
+    every = np.arange(count)
+    owner = np.searchsorted(cut.text, every, "right") - 1
+    # A run may begin and end in one sentence only if that is a long one.
+    beyond = np.searchsorted(cut.sentence, cut.sentence, "right")
+    ahead = np.searchsorted(cut.last, cut.first + (min_words - 1))
+    ahead = np.where(cut.long, ahead, np.maximum(ahead, beyond))
+    held = ahead < cut.text[owner + 1]
+    before = np.searchsorted(cut.sentence, cut.sentence) - 1
+    back = np.searchsorted(cut.first, cut.last + (1 - min_words), "right") - 1
+    back = np.where(cut.long, back, np.minimum(back, before))
+    reached = np.zeros(count + 1, bool)
+    reached[ahead[held]] = True
+    added = (back >= cut.text[owner]) & ~reached[:-1]
+    return (
+        np.concatenate([every[held], back[added]]),
+        np.concatenate([ahead[held], every[added]]),
+    )
 
-def _pieces(text: str, begin: int, end: int) -> list[tuple[int, int, bytes]]:
-    """A long sentence, cut behind the words that winnowing chooses."""
-    found = list(_WORD.finditer(text, begin, end))
-    words = [match.group().lower() for match in found]
-    ends = _cuts([xxhash.xxh3_64_intdigest(word) for word in words]) | {len(words) - 1}
-    out, first = [], 0
-    for last in sorted(ends):
-        held = words[first : last + 1]
-        out.append((found[first].start(), len(held), xxhash.xxh3_128_digest(" ".join(held))))
-        first = last + 1
+
+def hash_runs(cut: Cut, first: np.ndarray, last: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit halves of the hash of the words of each run."""
+    begin, end = cut.first[first], cut.last[last]
+    out = []
+    for base in _BASES:
+        powers = np.cumprod(np.full(len(cut.hashes) + 1, base, np.uint64), dtype=np.uint64)
+        inverse = np.uint64(pow(base, -1, 1 << 64))
+        backs = np.cumprod(np.full(len(cut.hashes) + 1, inverse, np.uint64), dtype=np.uint64)
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(cut.hashes ^ np.uint64(base)) * powers[:-1], dtype=np.uint64)])
+        whole = (sums[end + 1] - sums[begin]) * backs[begin]
+        out.append(mix(whole + (end - begin).astype(np.uint64)).view(np.int64))
     return out
 
 
-def runs(counts: list[int], min_words: int) -> list[tuple[int, int]]:
-    """First and last sentence of each run, for the words of each sentence."""
-    found = []
-    last, words = -1, 0
-    ends = set()
-    for first, count in enumerate(counts):
-        while last + 1 < len(counts) and words < min_words:
-            last += 1
-            words += counts[last]
-        if words < min_words:
-            break
-        found.append((first, last))
-        ends.add(last)
-        words -= count
-    first, words = len(counts), 0
-    for last in range(len(counts) - 1, -1, -1):
-        while first > 0 and words < min_words:
-            first -= 1
-            words += counts[first]
-        if words < min_words:
-            break
-        if last not in ends:
-            found.append((first, last))
-        words -= counts[last]
-    return found
+def _groups(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Parts of a column of about ``BATCH_BYTES``: the first text, all bytes, and where each text begins."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    begin = 0
+    while begin < len(texts):
+        total = np.cumsum(sizes[begin:])
+        count = max(1, int(np.searchsorted(total, BATCH_BYTES, "right")))
+        part = b"".join(x for x in texts.slice(begin, count).cast(pa.large_binary()).to_pylist() if x)
+        yield begin, np.frombuffer(part, np.uint8), np.concatenate([[0], total[:count]]).astype(np.int64)
+        begin += count
 
 
 def _hashed_runs(documents: DataFrame, min_words: int) -> DataFrame:
-    """One row for each run of each text; a place is its first sentence and its length."""
+    """One row for each run of each text; a place is its first piece in the text and its length."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests: list[bytes] = []
-            places: list[int] = []
-            owner: list[int] = []
-            for n, text in enumerate(batch.column("text")):
-                sentences = sentence_spans(text.as_py() or "")
-                own = [s[2] for s in sentences]
-                for first, last in runs([s[1] for s in sentences], min_words):
-                    digests.append(xxhash.xxh3_128_digest(b"".join(own[first : last + 1])))
-                    places.append(first << 24 | last - first)
-                owner += [n] * (len(places) - len(owner))
-                if len(places) > 100_000 or n + 1 == len(batch):
-                    halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-                    ids = [batch.column(c).take(pa.array(owner, pa.int64())) for c in ("doc_id", "row")]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(halves[:, 0]), pa.array(halves[:, 1]), *ids, pa.array(places, pa.int64())],
-                        names=["h1", "h2", "doc_id", "row", "place"],
-                    )
-                    for x in (digests, places, owner):
-                        x.clear()
+            for begin, data, bounds in _groups(batch.column("text")):
+                cut = cut_texts(data, bounds)
+                if not len(cut.first):
+                    continue
+                first, last = find_runs(cut, min_words)
+                owner = np.searchsorted(cut.text, first, "right") - 1
+                place = (first - cut.text[owner]) << 24 | (last - first)
+                owner = pa.array(owner + begin)
+                ids = [batch.column(c).take(owner) for c in ("doc_id", "row")]
+                yield pa.RecordBatch.from_arrays(
+                    [*map(pa.array, hash_runs(cut, first, last)), *ids, pa.array(place)],
+                    names=["h1", "h2", "doc_id", "row", "place"],
+                )
 
     return documents.select("doc_id", F.xxhash64("text").alias("row"), "text").mapInArrow(
         make, "h1 long, h2 long, doc_id long, row long, place long"
     )
 
 
+def _without(texts: pa.Array, covered: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The texts without the pieces of the covered places, and how many went; a text each has some."""
+    out: list[bytes] = []
+    removed: list[np.ndarray] = []
+    for begin, data, bounds in _groups(texts):
+        cut = cut_texts(data, bounds)
+        lists = covered.slice(begin, len(bounds) - 1)
+        places = lists.flatten().to_numpy()
+        owner = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+        first = (places >> 24) + cut.text[owner]
+        last = first + (places & 0xFFFFFF)
+        depth = np.zeros(len(cut.first) + 1, np.int64)
+        np.add.at(depth, first, 1)
+        np.add.at(depth, last + 1, -1)
+        gone = np.cumsum(depth)[:-1] > 0
+        # A piece reaches to the next one of its text; what stands before the first piece stays.
+        edges = np.concatenate([bounds[:-1], cut.start])
+        order = np.argsort(edges, kind="stable")
+        stays = np.concatenate([np.ones(len(bounds) - 1, bool), ~gone])[order]
+        mask = np.repeat(stays, np.diff(np.concatenate([edges[order], bounds[-1:]])))
+        kept = data[mask].tobytes()
+        ends = np.concatenate([[0], np.cumsum(mask)])[bounds].tolist()
+        out += [kept[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+        total = np.concatenate([[0], np.cumsum(gone)])
+        removed.append(total[cut.text[1:]] - total[cut.text[:-1]])
+    return pa.array(out, pa.binary()).cast(pa.string()), np.concatenate(removed)
+
+
 def drop_repeated_spans(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``documents`` with ``text`` reduced, and ``n_removed``, its removed sentences, added.
+    """``documents`` with ``text`` reduced, and ``n_removed`` added: sentences, or pieces of long ones, removed.
 
     The first place of a run is the one of the smallest ``doc_id``, in it the earliest. A removed
     sentence goes with the white space behind it. Null or empty text has no sentence and becomes
-    empty. Rows without ``doc_id`` count as the smallest one. Rows that repeat both ``doc_id`` and
-    text are one document, and all or none of them keep a sentence; exact copies under other ids
-    lose all that a run covers. Other columns are carried along, save any named
-    ``n_removed``, which is replaced, and ``_id``, ``_row`` and ``_covered``, which go.
+    empty; so does an empty table. Rows without ``doc_id`` count as the smallest one. Rows that repeat both
+    ``doc_id`` and text are one document, and all or none of them keep a sentence; exact copies under
+    other ids lose all that a run covers. Very long texts are taken whole. Other columns are carried
+    along, save any named ``n_removed``, which is replaced, and ``_id``, ``_row`` and ``_covered``, which go.
     """
     source = documents.drop("n_removed", "_id", "_row", "_covered").withColumn("text", F.coalesce("text", F.lit("")))
     source = source.withColumn("doc_id", F.col("doc_id").cast("long"))
@@ -171,23 +226,13 @@ def drop_repeated_spans(documents: DataFrame, min_words: int = MIN_WORDS) -> Dat
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, removed = batch.column("text"), [0] * len(batch)
-            changed: dict[int, str] = {}
-            for n, places in enumerate(batch.column("_covered")):
-                if not places.is_valid:
-                    continue
-                text = texts[n].as_py()
-                starts = [s[0] for s in sentence_spans(text)] + [len(text)]
-                gone = {
-                    k for p in places.as_py() for k in range(p >> 24, (p >> 24) + (p & 0xFFFFFF) + 1)
-                }
-                stay = [k for k in range(len(starts) - 1) if k not in gone]
-                head = text[: starts[0]]
-                changed[n] = head + "".join(text[starts[k] : starts[k + 1]] for k in stay)
-                removed[n] = len(gone)
-            if changed:
-                texts = pa.array([changed.get(n, x) for n, x in enumerate(texts.to_pylist())], pa.string())
-            made = {"text": texts, "n_removed": pa.array(removed, pa.int64())}
+            texts, removed = batch.column("text"), np.zeros(len(batch), np.int64)
+            touched = batch.column("_covered").is_valid()
+            if touched.true_count:
+                kept, gone = _without(texts.filter(touched), batch.column("_covered").filter(touched))
+                texts = pc.replace_with_mask(texts, touched, kept.cast(texts.type))
+                removed[touched.to_numpy(zero_copy_only=False)] = gone
+            made = {"text": texts, "n_removed": pa.array(removed)}
             yield pa.RecordBatch.from_arrays(
                 [made[n] if n in made else batch.column(n) for n in names], names=names
             )

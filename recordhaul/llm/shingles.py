@@ -38,8 +38,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[:n], _BACKS[:n]
 
 
-def _word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of texts that lie one behind the other, and each text's first word."""
+def word_places(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last byte and hash of all words of texts that lie one behind the other."""
     white = _WHITE[data]
     starts_word = ~white
     starts_word[1:] &= white[:-1]
@@ -53,7 +53,7 @@ def _word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
     sums = np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * powers, dtype=np.uint64)
     before = np.where(first > 0, sums[np.maximum(first, 1) - 1], np.uint64(0))
     hashes = mix((sums[last] - before) * backs[first] + (last - first + 1).astype(np.uint64))
-    return hashes, np.searchsorted(first, bounds)
+    return first, last, hashes
 
 
 def word_hashes(texts: pa.Array) -> Iterator[np.ndarray]:
@@ -72,7 +72,8 @@ def word_hashes(texts: pa.Array) -> Iterator[np.ndarray]:
         if not part:
             yield from [np.empty(0, np.uint64)] * count
         else:
-            hashes, at = _word_hashes(np.frombuffer(b"".join(part), np.uint8), bounds)
+            first, _, hashes = word_places(np.frombuffer(b"".join(part), np.uint8), bounds)
+            at = np.searchsorted(first, bounds)
             yield from (hashes[a:b] for a, b in zip(at, at[1:], strict=False))
         begin += count
 

@@ -5,12 +5,14 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 
 from recordhaul.llm import minhash
 from recordhaul.llm.line_dedup import drop_shared_lines
 from recordhaul.llm.minhash import near_duplicates
-from recordhaul.llm.sentence_spans import MIN_WORDS, drop_repeated_spans, runs, sentence_spans
+from recordhaul.llm.sentence_spans import LONG, MIN_WORDS, PASSAGE, WINDOW, drop_repeated_spans
+from recordhaul.llm.shingles import word_hashes
 from tests.llm.cases import PROSE, clashing, documents, texts
 
 SF = "/root/testdata/sf0.001"
@@ -105,26 +107,66 @@ def test_lines_in_few_documents_stay(spark):
     assert {r["n_dropped"] for r in drop_shared_lines(documents(spark, short)).collect()} == {0}
 
 
+def _spans(text):
+    """Start, words and sentence of each piece, cut word by word."""
+    out = []
+    for number, match in enumerate(re.finditer(r"(?:[^.!?\n]|[.!?](?![\x20\x09-\x0D]|\Z))*(?:[.!?](?=[\x20\x09-\x0D]|\Z)|\n|\Z)", text)):
+        found = list(re.finditer(r"[^\x20\x09-\x0D]+", match[0]))
+        words = [re.sub("[A-Z]", lambda m: m[0].lower(), w[0]) for w in found]
+        ends = {len(words) - 1}
+        if len(words) > LONG:
+            order = next(word_hashes(pa.array([" ".join(words)]))).tolist()
+            for n in range(len(words) - WINDOW + 1):
+                ends.add(min(range(n, n + WINDOW), key=lambda k: (order[k], -k)))
+        begin = 0
+        for end in sorted(ends) if words else ():
+            out.append((match.start() + found[begin].start(), words[begin : end + 1], number, len(words)))
+            begin = end + 1
+    return out
+
+
+def _runs(pieces):
+    """Every shortest run from a piece, and every shortest one to a piece that none of those ends at."""
+    def enough(a, b):
+        words = sum(len(p[1]) for p in pieces[a : b + 1])
+        return words >= MIN_WORDS and (pieces[a][2] != pieces[b][2] or pieces[a][3] > PASSAGE)
+
+    size = range(len(pieces))
+    ahead = [(a, b) for a in size if (b := next((b for b in size[a:] if enough(a, b)), None)) is not None]
+    ends = {b for _, b in ahead}
+    back = [(a, b) for b in size if b not in ends and (a := next((a for a in size[b::-1] if enough(a, b)), None)) is not None]
+    return ahead + back
+
+
 def test_repeated_spans_equal_brute_force(spark):
-    table = spark.read.parquet(f"{SF}/documents.parquet")
+    table = spark.read.parquet(f"{SF}/documents.parquet").where("length(text) < 20000")
     every = texts(table)
-    first = {}
+    cut = {key: _spans(text) for key, text in every.items()}
+    held = {key: [(tuple(w for p in found[a : b + 1] for w in p[1]), a, b) for a, b in _runs(found)] for key, found in cut.items()}
+    first, count = {}, defaultdict(int)
     for key in sorted(every):
-        found = sentence_spans(every[key])
-        for a, b in sorted(runs([s[1] for s in found], MIN_WORDS)):
-            first.setdefault(tuple(s[2] for s in found[a : b + 1]), (key, a))
+        for run, a, _ in sorted(held[key], key=lambda x: x[1]):
+            first.setdefault(run, (key, a))
+            count[run] += 1
     out = {r["doc_id"]: r for r in drop_repeated_spans(table).collect()}
+    assert any(r["n_removed"] for r in out.values())
     for key, text in every.items():
-        found = sentence_spans(text)
-        gone = set()
-        for a, b in runs([s[1] for s in found], MIN_WORDS):
-            if first[tuple(s[2] for s in found[a : b + 1])] != (key, a):
-                gone.update(range(a, b + 1))
-        starts = [s[0] for s in found] + [len(text)]
-        kept = text[: starts[0]] + "".join(text[starts[n] : starts[n + 1]] for n in range(len(found)) if n not in gone)
+        gone = {k for run, a, b in held[key] if first[run] != (key, a) for k in range(a, b + 1)}
+        starts = [p[0] for p in cut[key]] + [len(text)]
+        kept = text[: starts[0]] + "".join(text[starts[n] : starts[n + 1]] for n in range(len(starts) - 1) if n not in gone)
         assert (out[key]["n_removed"], out[key]["text"]) == (len(gone), kept)
 
 
+def test_a_single_shared_sentence_stays(spark):
+    for size in (17, 24):
+        shared = " ".join(f"shared{n}" for n in range(size)) + "."
+        rows = [(n, f"Document {n} begins. {shared} It ends {n}.", "en", "s", 0) for n in range(3)]
+        assert {r["n_removed"] for r in drop_repeated_spans(documents(spark, rows)).collect()} == {0}
+    shared = " ".join(f"shared{n}" for n in range(40)) + "."
+    rows = [(n, f"Document {n} begins. {shared} It ends {n}.", "en", "s", 0) for n in range(3)]
+    assert [r["n_removed"] > 0 for r in drop_repeated_spans(documents(spark, rows)).orderBy("doc_id").collect()] == [False, True, True]
+
+
 def test_passage_goes_from_all_but_the_first(spark):
     lead = lambda n: f"Document {n} begins with words of its own, number {n}. "
     rows = [(n, lead(n) + PROSE + f"And {n} ends so.", "en", "s", 0) for n in range(6)]
@@ -145,14 +187,11 @@ def _shared_words(passage, before, after):
     """Words of the passage that two texts, which hold it, have in equal runs."""
     found = []
     for n in range(2):
-        cut = sentence_spans(f"{before[n]} {passage} {after[n]}")
-        every = {}
-        for a, b in runs([s[1] for s in cut], MIN_WORDS):
-            every[tuple(s[2] for s in cut[a : b + 1])] = (a, b)
-        found.append((cut, every))
+        cut = _spans(f"{before[n]} {passage} {after[n]}")
+        found.append((cut, {tuple(w for p in cut[a : b + 1] for w in p[1]): (a, b) for a, b in _runs(cut)}))
     (_, one), (cut, other) = found
     covered = {k for key, (a, b) in other.items() if key in one for k in range(a, b + 1)}
-    return sum(cut[k][1] for k in covered)
+    return sum(len(cut[k][1]) for k in covered)
 
 
 @pytest.mark.parametrize("distinct", [2, 3, 10, 1000])
