@@ -63,6 +63,7 @@ class Packer:
         self.sequence = first_sequence
         self.waiting: list[Example] = []
         self.held = 0
+        self.picks = 0
         self.rows: list[tuple] = []
 
     def add(self, example: Example) -> None:
@@ -102,38 +103,56 @@ class Packer:
 
     def pack(self, last: bool = False) -> None:
         """Fills sequences from what waits; keeps less than one sequence back unless ``last``."""
-        items = self.waiting
-        sizes = np.array([[len(x.ids) - x.at, 1, x.loss(x.at, len(x.ids))] for x in items], float)
-        sizes = sizes.reshape(-1, 3)
-        open_ = np.ones(len(items), bool)
-        total = sizes[:, 0].sum()
+        # Examples of equal demand are one candidate, so that a pick looks at each demand once.
+        alike: dict[tuple[int, int], int] = {}
+        groups: list[list[Example]] = []
+        demands: list[tuple[int, int, int]] = []
+
+        def wait(example: Example) -> int:
+            demand = len(example.ids) - example.at, example.loss(example.at, len(example.ids))
+            n = alike.setdefault(demand, len(groups))
+            if n == len(groups):
+                groups.append([])
+                demands.append((demand[0], 1, demand[1]))
+            groups[n].append(example)
+            return n
+
+        for example in reversed(self.waiting):
+            wait(example)
+        sizes = np.array(demands, float).reshape(-1, 3)
+        open_ = np.ones(len(groups), bool)
+        total = sum(len(x.ids) - x.at for x in self.waiting)
         while open_.any() and (last or total >= self.tokens):
             room, pieces = self.limits.copy(), []
             while room[0] >= 1 and room[1] >= 1:
+                self.picks += 1
                 fits = open_ & (sizes <= room).all(1)
                 if fits.any():
                     gain = (sizes / self.limits) @ (room / self.limits)
                     n = int(np.argmax(np.where(fits, gain, -1)))
-                    count = len(items[n].ids) - items[n].at
+                    count = int(sizes[n, 0])
                 else:
                     able = np.where(open_, sizes[:, 0], -1)
-                    n = int(np.argmax(able)) if len(able) else -1
-                    count = items[n].fit(int(room[0]), int(room[2])) if n >= 0 and able[n] > 0 else 0
+                    n = int(np.argmax(able))
+                    count = groups[n][-1].fit(int(room[0]), int(room[2])) if able[n] > 0 else 0
                 if not count:
                     break
-                example, begin, end = self._cut(items[n], count)
+                example, begin, end = self._cut(groups[n].pop(), count)
                 pieces.append((example, begin, end))
-                used = np.array([end - begin, 1, example.loss(begin, end)], float)
-                room -= used
-                total -= used[0]
-                sizes[n, 0] -= used[0]
-                sizes[n, 2] -= used[2]
-                open_[n] = sizes[n, 0] > 0
+                room -= (count, 1, example.loss(begin, end))
+                total -= count
+                open_[n] = bool(groups[n])
+                if example.at < len(example.ids):
+                    n = wait(example)
+                    if n == len(sizes):
+                        sizes = np.vstack([sizes, demands[n]])
+                        open_ = np.append(open_, True)
+                    open_[n] = True
             if not pieces:
                 break
             self._write(pieces)
-        self.waiting = [x for x, more in zip(items, open_, strict=True) if more]
-        self.held = int(total)
+        self.waiting = [example for group in groups for example in reversed(group)]
+        self.held = total
 
     def take(self) -> pa.RecordBatch:
         rows, self.rows = self.rows, []
@@ -156,7 +175,9 @@ def pack_documents(
     loss. All ids of a row bear loss but its first ``prompt_tokens``, if there is such a column
     (null: none). ``doc_tokens`` counts the ids of the row, ``start`` those before the piece,
     ``offset`` those before it in its sequence; ``row`` tells apart rows that share a ``doc_id``.
-    Null and empty texts are one id. Other columns are not looked at.
+    Null and empty texts are one id. Other columns are not looked at. Very long texts are cut over as many
+    sequences as they fill; examples of equal demand go in the order in which they are read, and repeated rows
+    are examples of their own. An empty table has no pieces.
     """
     if min(tokens, segments, loss_tokens) < 1:
         raise ValueError("every limit must be 1 or more")

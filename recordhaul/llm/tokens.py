@@ -8,7 +8,8 @@ between two characters that are not white space: a pre-token of either vocabular
 across it and never looks over it, so the ids equal those of the whole text (``tests/llm``
 compares them).
 
-Texts with other white space, or several white-space characters in a row, are encoded whole.
+Texts with other white space, several white-space characters in a row, or the string of a special
+token, which the library takes for that token, are encoded whole.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ _IRREGULAR = (
 #: One white-space character, a word of Latin letters, and punctuation that ends the word's piece.
 _SIMPLE = re.compile("([ \n])([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,%$#*&|]*)")
 
-_encoders: dict[str, ChunkEncoder] = {}
+_encoders: dict[tuple[str, bool], ChunkEncoder] = {}
 
 
 def tokenizer_path(name: str) -> str:
@@ -60,14 +61,19 @@ def _byte_letters() -> dict[int, str]:
 
 
 class ChunkEncoder:
-    """Encodes columns of texts; holds the ids of every chunk it has met."""
+    """Encodes columns of texts; holds the ids of every chunk it has met.
 
-    def __init__(self, path: str):
+    With ``plain``, the strings of special tokens are ordinary text.
+    """
+
+    def __init__(self, path: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer.encode_special_tokens = plain
+        marks = [re.escape(t.content) for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._irregular = _IRREGULAR if plain or not marks else f"{_IRREGULAR}|(?i:{'|'.join(marks)})"
         self._model = self._tokenizer.model
         self._letters = _byte_letters()
         #: One vocabulary has lower case only and drops white space, the other keeps all.
@@ -134,7 +140,7 @@ class ChunkEncoder:
         if not len(texts):
             return []
         led = pc.binary_join_element_wise("\n", texts, "")
-        odd = pc.match_substring_regex(led, _IRREGULAR)
+        odd = pc.match_substring_regex(led, self._irregular)
         led = pc.if_else(odd, "", led)
         pieces = pc.split_pattern(pc.replace_substring(led, "\n", " \n"), " ")
         chunks = pieces.flatten().dictionary_encode()
@@ -159,9 +165,9 @@ class ChunkEncoder:
         return out
 
 
-def encoder(name: str) -> ChunkEncoder:
+def encoder(name: str, plain: bool = False) -> ChunkEncoder:
     """The worker's encoder for a vocabulary, kept for the tasks that follow."""
-    path = tokenizer_path(name)
-    if path not in _encoders:
-        _encoders[path] = ChunkEncoder(path)
-    return _encoders[path]
+    key = tokenizer_path(name), plain
+    if key not in _encoders:
+        _encoders[key] = ChunkEncoder(*key)
+    return _encoders[key]

@@ -13,7 +13,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from recordhaul.llm.packing import Packer, pack_documents
+from recordhaul.llm.packing import Example, Packer, pack_documents
+from recordhaul.llm.queries import QUERIES
 from recordhaul.llm.token_files import decode_blocks, encode_blocks, read_token_files, write_token_files
 from recordhaul.llm.tokens import BYTE_BPE, WORD_BPE, encoder
 from recordhaul.session import new_folder
@@ -37,12 +38,21 @@ def test_ids_equal_the_whole_text(name):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet=st.sampled_from(" \n\t.,'%#aZéß1|-日"), max_size=30), min_size=1, max_size=5))
 def test_ids_of_any_text(values):
+    values = [*values, *(f"{v}<|endoftext|>{v} <|startoftext|> {v}" for v in values[:1])]
     for name in (BYTE_BPE, WORD_BPE):
         plain = Tokenizer.from_file(public_tokenizers.path(name))
         found = [x.tolist() for x in encoder(name).encode(pa.array(values))]
         assert found == [plain.encode(v, add_special_tokens=False).ids for v in values]
 
 
+@pytest.mark.parametrize("name", [BYTE_BPE, WORD_BPE])
+def test_special_tokens_as_plain_text(name):
+    plain = Tokenizer.from_file(public_tokenizers.path(name))
+    plain.encode_special_tokens = True
+    found = [x.tolist() for x in encoder(name, plain=True).encode(pa.array(ODD))]
+    assert found == [plain.encode(v, add_special_tokens=False).ids for v in ODD]
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 60_000), max_size=700))
 def test_blocks_round_trip(values):
@@ -134,3 +144,23 @@ def test_packing_takes_awkward_rows(spark):
     with pytest.raises(ValueError):
         pack_documents(documents(spark), tokens=0)
     assert Packer(8, 1, 8, 0).rows == []
+
+
+def test_equal_demands_are_picked_as_one():
+    packer = Packer(4096, 256, 4096, 0)
+    for n in range(100_000):
+        packer.add(Example(n, n, np.array([2], np.uint32), 0))
+    packer.pack(last=True)
+    assert packer.picks <= 100_000 + 100_000 / 256 + 1
+    assert len(packer.rows) == 100_000 and {r[5] for r in packer.rows} >= set(range(390))
+
+
+def test_the_query_packs_under_limits_that_bind(spark):
+    rows = QUERIES["op8_packing"](spark, "/root/testdata/sf0.001").collect()
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    expected = {k: _ids(WORD_BPE, t, 2) for k, t in texts(table).items()}
+    assert _check_pieces(rows, expected.items(), 4096, 64, 3200) == 0
+    loss = defaultdict(int)
+    for r in rows:
+        loss[r["sequence_id"]] += r["loss_tokens"]
+    assert 3200 in loss.values()
