@@ -47,7 +47,7 @@ def test_stages_take_awkward_rows(spark, tmp_path):
         folder = tmp_path / name
         spark.createDataFrame(rows, LABELS).write.parquet(str(folder / "labels.parquet"))
         for table in (documents(spark), documents(spark, [])):
-            docs = table.selectExpr("*", "1 AS _row, 3 AS _id", "2 AS node")
+            docs = table.selectExpr("*", "1 AS _row", "3 AS _id", "2 AS node")
             for _, function in corpus_pipeline.STAGES:
                 docs = stage(function(spark, docs, str(folder)), "trial")
 
