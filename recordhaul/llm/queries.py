@@ -12,10 +12,13 @@ from recordhaul.llm.line_dedup import drop_shared_lines
 from recordhaul.llm.merkle import edited_fingerprints
 from recordhaul.llm.minhash import near_duplicates
 from recordhaul.llm.mixing import mix
+from recordhaul.llm.nb_svm import classify
 from recordhaul.llm.packing import pack_documents
+from recordhaul.llm.prefix_trie import prefix_nodes, rebuild, turn_lists
 from recordhaul.llm.quality import COUNTS, quality_verdicts
 from recordhaul.llm.secrets import scan_secrets, span_list
 from recordhaul.llm.sentence_spans import drop_repeated_spans
+from recordhaul.llm.token_alignment import align
 from recordhaul.llm.token_files import read_token_files, write_token_files
 from recordhaul.session import new_folder
 
@@ -126,3 +129,61 @@ def op2_target_mixing(spark, sf_dir):
     labels = _table(spark, sf_dir, "labels")
     weights = {"good": 0.85, "poor": 0.10, "toxic": 0.05}
     return mix(_table(spark, sf_dir, "documents"), labels, weights, carry=("doc_id",))
+
+
+@_query()
+def op11_quality_classifier(spark, sf_dir):
+    return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query()
+def op12_token_alignment(spark, sf_dir):
+    return align(_table(spark, sf_dir, "documents"))
+
+
+@_query(r"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+        FROM conversations WHERE conv_id IS NOT NULL),
+    lists AS (
+        SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST) AS turns
+        FROM turns GROUP BY conv_id),
+    counted AS (
+        -- crc32, a byte at a time and then a bit at a time
+        SELECT conv_id, turns, xor(4294967295, list_reduce(
+            list_prepend(4294967295::BIGINT, list_transform(
+                string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+            lambda crc, byte: list_reduce(
+                list_prepend(xor(crc, byte), range(8)),
+                lambda x, bit: xor(x >> 1, 3988292384 * (x & 1))))) % 4 AS h
+        FROM lists),
+    rebuilt AS (
+        SELECT c.conv_id, list_concat(
+            coalesce(b.turns, [])[1:c.h], c.turns[c.h + 1:]) AS turns
+        FROM counted c LEFT JOIN lists b ON b.conv_id = c.conv_id - c.conv_id % 20),
+    prefixes AS (
+        SELECT conv_id, d AS depth, turns[1:d] AS prefix, len(turns) = d AS ends
+        FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)),
+    nodes AS (
+        SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+               sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), ''))
+                   AS ends_sha256
+        FROM prefixes GROUP BY prefix, depth),
+    below AS (
+        SELECT prefix[1:depth - 1] AS prefix, count(*) AS n_children
+        FROM nodes WHERE depth > 0 GROUP BY 1),
+    valued AS (
+        SELECT n.*, coalesce(b.n_children, 0) AS n_children,
+               CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1) * len(regexp_extract_all(
+                   n.prefix[n.depth].text, '[^ 	-]+')) END AS saved
+        FROM nodes n LEFT JOIN below b ON n.prefix = b.prefix),
+    summed AS (
+        SELECT prefix[1:d] AS prefix, sum(saved)::BIGINT AS saved_tokens,
+               count(*) FILTER (WHERE n_children = 0) AS n_leaves
+        FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM valued) GROUP BY 1)
+    SELECT v.conv_id, v.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children,
+           s.n_leaves, s.saved_tokens, v.ends_sha256
+    FROM valued v JOIN summed s ON v.prefix = s.prefix
+    LEFT JOIN nodes p ON v.depth > 0 AND p.prefix = v.prefix[1:v.depth - 1]""")
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_nodes(rebuild(turn_lists(_table(spark, sf_dir, "conversations"))))

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordhaul.llm.shingles import BATCH_BYTES, mix, word_places
+from recordhaul.llm.shingles import byte_groups, mix, word_places
 from recordhaul.session import stage
 
 MIN_WORDS = 16
@@ -131,24 +131,12 @@ def hash_runs(cut: Cut, first: np.ndarray, last: np.ndarray) -> list[np.ndarray]
     return out
 
 
-def _groups(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Parts of a column of about ``BATCH_BYTES``: the first text, all bytes, and where each text begins."""
-    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-    begin = 0
-    while begin < len(texts):
-        total = np.cumsum(sizes[begin:])
-        count = max(1, int(np.searchsorted(total, BATCH_BYTES, "right")))
-        part = b"".join(x for x in texts.slice(begin, count).cast(pa.large_binary()).to_pylist() if x)
-        yield begin, np.frombuffer(part, np.uint8), np.concatenate([[0], total[:count]]).astype(np.int64)
-        begin += count
-
-
 def _hashed_runs(documents: DataFrame, min_words: int) -> DataFrame:
     """One row for each run of each text; a place is its first piece in the text and its length."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, data, bounds in _groups(batch.column("text")):
+            for begin, data, bounds in byte_groups(batch.column("text")):
                 cut = cut_texts(data, bounds)
                 if not len(cut.first):
                     continue
@@ -171,7 +159,7 @@ def _without(texts: pa.Array, covered: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The texts without the pieces of the covered places, and how many went; a text each has some."""
     out: list[bytes] = []
     removed: list[np.ndarray] = []
-    for begin, data, bounds in _groups(texts):
+    for begin, data, bounds in byte_groups(texts):
         cut = cut_texts(data, bounds)
         lists = covered.slice(begin, len(bounds) - 1)
         places = lists.flatten().to_numpy()

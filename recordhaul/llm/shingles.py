@@ -56,6 +56,18 @@ def word_places(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     return first, last, hashes
 
 
+def byte_groups(texts: pa.Array, size: int = BATCH_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Parts of a column of about ``size`` bytes: the first text, all bytes, and where each text begins."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    begin = 0
+    while begin < len(texts):
+        total = np.cumsum(sizes[begin:])
+        count = max(1, int(np.searchsorted(total, size, "right")))
+        part = b"".join(x for x in texts.slice(begin, count).cast(pa.large_binary()).to_pylist() if x)
+        yield begin, np.frombuffer(part, np.uint8), np.concatenate([[0], total[:count]]).astype(np.int64)
+        begin += count
+
+
 def word_hashes(texts: pa.Array) -> Iterator[np.ndarray]:
     """For each text: 64-bit hashes of its words, with A-Z read as a-z.
 

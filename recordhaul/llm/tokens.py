@@ -52,11 +52,16 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def _byte_letters() -> dict[int, str]:
-    """For Latin letters of two UTF-8 bytes: the two characters a byte-level model has for them."""
+def byte_letters() -> dict[int, str]:
+    """The character that a byte-level model has for each byte."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     other = [b for b in range(256) if b not in plain]
-    of = {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(other)}
+    return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(other)}
+
+
+def _letter_pairs() -> dict[int, str]:
+    """For Latin letters of two UTF-8 bytes: the two characters a byte-level model has for them."""
+    of = byte_letters()
     return {c: "".join(of[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 
 
@@ -66,6 +71,9 @@ class ChunkEncoder:
     With ``plain``, the strings of special tokens are ordinary text.
     """
 
+    #: What is put before a text to be cut like the rest; its ids do not count unless it is a space.
+    lead = "\n"
+
     def __init__(self, path: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -73,13 +81,18 @@ class ChunkEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = plain
         marks = [re.escape(t.content) for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._irregular = _IRREGULAR if plain or not marks else f"{_IRREGULAR}|(?i:{'|'.join(marks)})"
+        self._irregular = self._irregular_of([] if plain else marks)
         self._model = self._tokenizer.model
-        self._letters = _byte_letters()
+        self._letters = _letter_pairs()
         #: One vocabulary has lower case only and drops white space, the other keeps all.
         self._keeps_space = bool(self.whole(" "))
         self._forget()
 
+    @staticmethod
+    def _irregular_of(marks: list[str]) -> str:
+        """The pattern of texts that are encoded whole."""
+        return f"{_IRREGULAR}|(?i:{'|'.join(marks)})" if marks else _IRREGULAR
+
     def _forget(self) -> None:
         self._place: dict[str, int] = {}
         self._pieces: dict[str, tuple[int, ...]] = {}
@@ -139,9 +152,10 @@ class ChunkEncoder:
     def _encode(self, texts: pa.Array) -> list[np.ndarray]:
         if not len(texts):
             return []
-        led = pc.binary_join_element_wise("\n", texts, "")
+        led = pc.binary_join_element_wise(self.lead, texts, "")
         odd = pc.match_substring_regex(led, self._irregular)
-        led = pc.if_else(odd, "", led)
+        # A space goes without saying before the first chunk.
+        led = pc.if_else(odd, "", texts if self.lead == " " else led)
         pieces = pc.split_pattern(pc.replace_substring(led, "\n", " \n"), " ")
         chunks = pieces.flatten().dictionary_encode()
         if len(self._place) > REMEMBERED:
@@ -158,10 +172,10 @@ class ChunkEncoder:
         gather += np.arange(len(gather), dtype=np.int32)
         ids = self._ids[gather]
         bounds = np.concatenate([[0], ends])[pieces.offsets.to_numpy()].tolist()
-        lead = len(self.whole("\n"))
+        lead = 0 if self.lead == " " else len(self.whole("\n"))
         out = [ids[a + lead : b] for a, b in zip(bounds, bounds[1:], strict=False)]
         for n in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
-            out[n] = np.array(self.whole(texts[n].as_py()), np.uint32)
+            out[n] = np.array(self.whole(self.lead.strip("\n") + texts[n].as_py()), np.uint32)
         return out
 
 

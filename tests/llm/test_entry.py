@@ -18,10 +18,10 @@ SF = "/root/testdata/sf0.001"
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(m[1]) for n in entry.queries() if (m := re.match(r"op(\d+)_", n)))
-    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
-@pytest.mark.parametrize("name", ["op6_line_dedup"])
+@pytest.mark.parametrize("name", ["op6_line_dedup", "op13_prefix_trie"])
 def test_query_equals_its_sql(spark, name):
     assert mismatch(entry.queries()[name](spark, SF), connect(SF), entry.oracle_sql()[name]) is None
 
