@@ -52,13 +52,18 @@ def with_offsets(messages: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def decode_messages(
-    messages: DataFrame, mapping: dict = ARTICLE_MAPPING, key: str = "id", need_key: bool = True
+    messages: DataFrame,
+    mapping: dict = ARTICLE_MAPPING,
+    key: str = "id",
+    need_key: bool | Column = True,
+    present: str | None = None,
 ) -> DataFrame:
     """Message values as typed documents with ``_id``; ``reason`` marks the undeliverable.
 
     ``malformed``: not one JSON object. ``no_id``: ``key`` is not a number. ``type``: a
     field does not fit its type. The message itself is kept untouched beside the fields.
-    With ``need_key`` off, a message without the key gets an id from its place in the log.
+    With ``need_key`` off, a message without the key gets an id from its place in the log; it
+    may also be a column. ``present`` names a column for the fields that the message holds, null or not.
     """
     fields = mapping_fields(mapping)
     value = F.make_valid_utf8(F.col("value"))
@@ -96,26 +101,30 @@ def decode_messages(
         misfit = misfit | (jsonl.is_filled(F.col(f"_kind_{name}")) & F.col(f"_f_{name}").isNull())
     kind_of_key = F.col(f"_kind_{key}")
     no_id = ~jsonl.is_number_kind(kind_of_key) | F.col(f"_f_{key}").isNull()
-    if not need_key:
-        no_id = no_id & jsonl.is_filled(kind_of_key)
+    if need_key is not True:
+        needed = need_key if isinstance(need_key, Column) else F.lit(False)
+        no_id = no_id & (needed | jsonl.is_filled(kind_of_key))
     reason = (
         F.when(~F.col("_whole"), "malformed").when(no_id, "no_id").when(misfit, "type")
     )
     has_place = set(PLACE) <= set(messages.columns)
-    if need_key or not has_place:
+    if need_key is True or not has_place:
         doc_id = F.col(f"_f_{key}").cast("string")
     else:
         doc_id = document_id(F.col(f"_f_{key}"), *[F.col(name) for name in PLACE])
     judged = cast.withColumn("reason", reason)
     deliverable = F.col("reason").isNull()
     envelope = [F.col(name).alias(f"m_{name}") for name in messages.columns]
+    held = [F.when(F.col(f"_kind_{name}").isNotNull(), F.lit(name)) for name in fields]
+    named = [] if present is None else [F.array_compact(F.array(*held)).alias(present)]
     decoded = judged.select(
         *envelope,
         F.when(deliverable, doc_id).alias("_id"),
         *[F.when(deliverable, F.col(f"_f_{name}")).alias(name) for name in fields],
+        *named,
         "reason",
     )
-    return evaluate_once(decoded, ["_id", *fields, "reason"])
+    return evaluate_once(decoded, ["_id", *fields, *([present] if present else []), "reason"])
 
 
 def split_dead_letters(decoded: DataFrame, attempts: int = 0) -> tuple[DataFrame, DataFrame]:

@@ -51,6 +51,9 @@ ENVELOPE = T.StructType(
     ]
 )
 
+#: Messages that say what they do: ``put`` (also null), ``patch`` or ``delete``.
+TYPED_ENVELOPE = T.StructType([*ENVELOPE.fields, T.StructField("op", T.StringType())])
+
 _SPARK_TYPES = {
     "long": T.LongType(),
     "keyword": T.StringType(),

@@ -61,6 +61,20 @@ def matches(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in files.globStatus(path) or []]
 
 
+def file_sizes(spark: SparkSession, pattern: str) -> dict[str, int]:
+    """Path and bytes of what matches a glob pattern."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {s.getPath().toString(): s.getLen() for s in files.globStatus(path) or []}
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all that is in it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(place, True)
+
+
 def finished(spark: SparkSession, path: str) -> bool:
     """True if a table write to ``path`` or to one of its sub-folders has been committed."""
     return bool(matches(spark, f"{path}/_SUCCESS") or matches(spark, f"{path}/*/_SUCCESS"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordhaul.schemas import ENVELOPE
 
@@ -37,10 +38,14 @@ def read_broker(spark: SparkSession, options: dict[str, str]) -> DataFrame:
 
 
 def read_message_files(
-    spark: SparkSession, folder: str, max_files: int | None = None, topics: list[str] | None = None
+    spark: SparkSession,
+    folder: str,
+    max_files: int | None = None,
+    topics: list[str] | None = None,
+    schema: T.StructType = ENVELOPE,
 ) -> DataFrame:
     """Messages from parquet files of envelopes that arrive in ``folder``."""
-    reader = spark.readStream.schema(ENVELOPE)
+    reader = spark.readStream.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     log = reader.parquet(folder)
