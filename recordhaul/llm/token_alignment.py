@@ -28,7 +28,9 @@ from recordhaul.session import stage
 
 PIECE_BPE = "piece_bpe_32k.model"
 #: UTF-8 bytes of a block, unless one text is longer.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
+#: Chunks that each of the two encoders remembers, as both lie in a worker's memory.
+CHUNKS = 250_000
 #: Ids of the second tokenizer are less than this.
 B_IDS = 1 << 20
 
@@ -41,6 +43,7 @@ class ByteTokens(ChunkEncoder):
     """Ids of a byte-level tokenizer for a space and the text, and the bytes of each id."""
 
     lead = " "
+    remembered = CHUNKS
 
     def __init__(self, path: str):
         super().__init__(path, plain=True)
@@ -60,6 +63,7 @@ class PieceTokens(ChunkEncoder):
     """
 
     lead = " "
+    remembered = CHUNKS
 
     def __init__(self, path: str):
         import sentencepiece

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
-#: A worker's memory holds so many chunks at most; it starts anew beyond that.
+#: A worker's memory holds so many chunks at most, if it is the only one; it starts anew beyond that.
 REMEMBERED = 1_100_000
 #: And so many words without white space and punctuation, of which chunks are made.
 PIECES = 300_000
@@ -73,6 +73,8 @@ class ChunkEncoder:
 
     #: What is put before a text to be cut like the rest; its ids do not count unless it is a space.
     lead = "\n"
+    #: Most chunks that are remembered.
+    remembered = REMEMBERED
 
     def __init__(self, path: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -158,7 +160,7 @@ class ChunkEncoder:
         led = pc.if_else(odd, "", texts if self.lead == " " else led)
         pieces = pc.split_pattern(pc.replace_substring(led, "\n", " \n"), " ")
         chunks = pieces.flatten().dictionary_encode()
-        if len(self._place) > REMEMBERED:
+        if len(self._place) > self.remembered:
             self._forget()
         known = chunks.dictionary.to_numpy(zero_copy_only=False).tolist()
         self._learn(known)
