@@ -60,11 +60,17 @@ ROLES = frozenset(
 OUTSIDE = frozenset(
     "ad ads adsense advert adverts advertisement advertising banner billboard breadcrumb breadcrumbs "
     "comment comments commentlist consent cookie cookies copyright disclaimer discussion disqus "
-    "footer gdpr login masthead menu menubar modal nav navbar navigation navi newsletter notice notices "
-    "notification overlay pager pagination paywall popup promo promoted promotion recommended related "
-    "replies respond share sharing sidebar signin signup skip social sponsor sponsored subscribe "
+    "feedback footer gdpr login masthead menu menubar modal nav navbar navigation navi newsletter notice "
+    "notices notification overlay pager pagination paywall popup promo promoted promotion recommended related "
+    "replies reply respond responses share sharing sidebar signin signup skip social sponsor sponsored subscribe "
     "subscription supplemental tags toolbar topbar widget widgets".split()
 )
+#: Those of them of which an element may have one and hold the article all the same.
+UNSURE = OUTSIDE - frozenset(
+    "breadcrumb breadcrumbs comment comments commentlist consent cookie cookies discussion disqus feedback footer "
+    "gdpr menu menubar nav navbar navigation navi newsletter pager pagination replies reply respond responses "
+    "sidebar".split()
+)
 HEADER = frozenset("header head".split())
 INSIDE = frozenset("article body content entry main post story text".split())
 #: Before a word of ``OUTSIDE`` these tell that the element only lies beside it.
@@ -76,13 +82,22 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECAS
 #: A tag that the end of the page cuts off.
 _CUT_OFF = re.compile(r"<[A-Za-z/!?][^<>]*\Z")
 
+#: Elements whose end tag may be missing, which then ends with the element around it.
+UNENDED = frozenset("p li dt dd tr td th option".split())
+#: Elements that are passed over only if their end tag comes.
+ENDED = frozenset("button label map output".split())
+#: Share of a text in links from which it is a list of them.
+LINKS = 0.3
+
 #: Levels over which points are passed.
 LEVELS = 5
 LEAST_PARAGRAPH = 25
+#: End tags that are missed one by one; what a further one lacks stays passed over.
+TRIES = 8
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "names", "score", "length", "linked", "beside")
+    __slots__ = ("tag", "parent", "children", "names", "score", "length", "linked", "beside", "unsure")
 
     def __init__(self, tag: str, parent: Node | None, names: tuple[str, ...] = ()):
         self.tag, self.parent, self.names = tag, parent, names
@@ -90,6 +105,8 @@ class Node:
         self.score, self.length, self.linked = 0.0, 0, 0
         #: Whether it seems to lie outside the article.
         self.beside = False
+        #: Whether that is to be settled by its text.
+        self.unsure = False
 
     def inside(self, tags) -> bool:
         node = self
@@ -132,17 +149,35 @@ def _beside(tag: str, attributes: dict[str, str | None], names: tuple[str, ...],
     return False
 
 
+def _unsure(names: tuple[str, ...], parent: Node) -> bool:
+    """Whether an element that seems to hold something else may hold the article, or a part of it."""
+    told = OUTSIDE & set(names)
+    return bool(told) and told <= UNSURE and (bool(INSIDE & set(names)) or parent.inside(("article", "main")))
+
+
 class TreeBuilder(HTMLParser):
-    """Elements with their text; what never is an article is passed over with all it holds."""
+    """Elements with their text; what never is an article is passed over with all it holds.
 
-    def __init__(self):
+    ``unended`` are the numbers of elements that would be passed over but whose end tag does not come; their tags
+    are left out instead.
+    """
+
+    def __init__(self, unended: frozenset[int] = frozenset()):
         super().__init__(convert_charrefs=True)
+        self.unended, self.number = unended, 0
+        #: Whether an element that is passed over only with its end tag has swallowed text.
+        self.lost = False
         self.root = Node("#root", None)
         self.open = self.root
         #: Tags open below an element that is passed over, that element first.
         self.passed: list[str] = []
 
     def handle_starttag(self, tag, attrs):
+        if self.passed:
+            if tag in ENDS_P:
+                self._end_passed({"p"}, P_SCOPE)
+            if tag in IMPLIED:
+                self._end_passed(*IMPLIED[tag])
         if self.passed:
             if tag not in VOID:
                 self.passed.append(tag)
@@ -156,7 +191,12 @@ class TreeBuilder(HTMLParser):
         attributes = dict(attrs)
         names = _names(attributes)
         beside = _beside(tag, attributes, names, self.open)
-        if _outside(tag, attributes) or (beside and tag in VOID):
+        outside = _outside(tag, attributes)
+        if outside and tag in ENDED:
+            self.number += 1
+            if self.number in self.unended:
+                return
+        if outside or (beside and tag in VOID):
             if tag not in VOID:
                 self.passed.append(tag)
             if tag in BLOCKS:
@@ -164,6 +204,7 @@ class TreeBuilder(HTMLParser):
             return
         node = Node(tag, self.open, names)
         node.beside = beside
+        node.unsure = beside and _unsure(names, self.open)
         self.open.children.append(node)
         if tag not in VOID:
             self.open = node
@@ -176,7 +217,10 @@ class TreeBuilder(HTMLParser):
         if self.passed:
             if tag in self.passed:
                 del self.passed[len(self.passed) - 1 - self.passed[::-1].index(tag) :]
-            elif tag in ("body", "html") or (tag in ("article", "main") and self.open.inside((tag,))):
+            elif tag in ("body", "html") or (
+                (tag in ("article", "main") or self.passed[0] in UNENDED) and self.open.inside((tag,))
+            ):
+                self.lost = self.passed[0] in ENDED
                 self.passed.clear()  # its own end tag is missing
                 self._end({tag}, ())
             return
@@ -186,6 +230,15 @@ class TreeBuilder(HTMLParser):
         if not self.passed:
             self.open.children.append(data)
 
+    def _end_passed(self, tags, scope) -> None:
+        """As ``_end``, among the elements that are passed over."""
+        for n in range(len(self.passed) - 1, -1, -1):
+            if self.passed[n] in tags:
+                del self.passed[n:]
+                return
+            if self.passed[n] in scope:
+                return
+
     def _end(self, tags, scope) -> bool:
         """Closes the innermost open element of ``tags``, unless one of ``scope`` lies between."""
         node = self.open
@@ -264,7 +317,8 @@ def _prune(nodes: list[Node]) -> list[Node]:
     """The elements without those that seem to lie outside the article, unless it stands in them.
 
     It does if they hold the ``main`` element, or an ``article`` where none stands outside of such
-    elements; or the larger share of the page's points, if they are a form or hold the title ``h1``.
+    elements; or the larger share of the page's points, if they are a form, hold the title ``h1`` or are
+    not sure; or any points and few links, if they are not sure and within the article.
     """
     if not any(node.beside for node in nodes):
         return nodes
@@ -288,8 +342,12 @@ def _prune(nodes: list[Node]) -> list[Node]:
         held = holds[id(node)]
         around = not articles and "article" in held and points[id(node)] > 0
         titled = not articles and (node.tag == "form" or "h1" in held)
-        if "main" in held or around or (titled and 2 * points[id(node)] > total):
+        most = 2 * points[id(node)] > total
+        if "main" in held or around or (titled and most):
             continue
+        if node.unsure and _density(node) < LINKS:
+            if most or (points[id(node)] > 0 and node.parent.inside(("article", "main"))):
+                continue
         node.children = []
         if node.tag not in BLOCKS:
             node.parent.children = [child for child in node.parent.children if child is not node]
@@ -351,9 +409,15 @@ def main_text(html: str | None) -> str:
     """The article of a page: its blocks joined by line feeds; empty for a null or empty page."""
     if not html:
         return ""
-    builder = TreeBuilder()
-    builder.feed(_CUT_OFF.sub("", html))
-    builder.close()
+    page, unended = _CUT_OFF.sub("", html), frozenset()
+    while True:
+        builder = TreeBuilder(unended)
+        builder.feed(page)
+        builder.close()
+        swallowed = builder.lost or (builder.passed and builder.passed[0] in ENDED)
+        if not swallowed or len(unended) == TRIES:
+            break
+        unended |= {builder.number}
     kept = _container(_prune(_in_order(builder.root)))
     return "\n".join(text for node in kept for text in _blocks(node))
 
@@ -362,7 +426,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` (code points) for every page.
 
     Null and empty pages have empty text; so has a page of nothing but surroundings. Text without any
-    markup is one block. Repeated rows give equal rows. Other columns are not looked at.
+    markup is one block. Repeated rows give equal rows, an empty table none, and very long pages are taken
+    whole. Other columns are not looked at.
     """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
