@@ -3,8 +3,9 @@
 A scope is a paragraph of a text: what stands between blank lines. Within it three kinds of parts are
 looked for: access identifiers, secrets and endpoints. Each by itself may be harmless (a host name, a
 user name, a short password), so it is weak. The parts of a scope are joined by interval: a weak part
-is reported if a part of a complementary kind begins within ``reach`` code points of it in the same
-scope. An access key of the strong patterns is such a part as well.
+is reported if a part of a complementary kind begins in the same scope (and, where a ``reach`` is given, within
+so many code points of it). Access keys and assignments of the strong patterns are such parts as well; a run of
+hexadecimal digits alone is none, as commit ids and check sums are such runs too.
 
 Both sides of that join lie in one text, so it needs no shuffle: the intervals of a row are sorted and
 looked up in its task. A text with very many parts costs their number times its logarithm, and a row
@@ -21,8 +22,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-REACH = 200
-
 #: The strong kinds, in the order in which spans at one place are listed.
 ASSIGN = re.compile(
     r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
@@ -41,8 +40,10 @@ WEAK = {
     ),
     "secret": re.compile(
         r"\b(?:password|passwd|pwd|pass|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?"
-        r"([A-Za-z0-9+/_.=!@#$%^&*-]{4,})|(?<![A-Za-z0-9+/=_-])(?=[A-Za-z/+]*[0-9])(?=[A-Z0-9/+]*[a-z])"
-        r"([A-Za-z0-9+/]{40})(?![A-Za-z0-9+/_-])",
+        r"([A-Za-z0-9+/_.=!@#$%^&*-]{4,})"
+        # 40 characters among which are a digit, a small and a capital letter
+        r"|(?-i:(?<![A-Za-z0-9+/=_-])(?=[A-Za-z/+]*[0-9])(?=[A-Z0-9/+]*[a-z])(?=[a-z0-9/+]*[A-Z])"
+        r"([A-Za-z0-9+/]{40})(?![A-Za-z0-9+/_-]))",
         re.IGNORECASE | re.ASCII,
     ),
     "endpoint": re.compile(
@@ -72,12 +73,12 @@ def strong_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def linked_spans(
-    text: str, strong: list[tuple[int, int, int]], reach: int
+    text: str, strong: list[tuple[int, int, int]], reach: int | None = None
 ) -> list[tuple[int, int, int]]:
-    """Weak parts with a complementary one within reach in their scope, as ``strong_spans``."""
+    """Weak parts with a complementary one in their scope, and within reach, as ``strong_spans``."""
     parts = {role: [m.span() for m in pattern.finditer(text)] for role, pattern in WEAK.items()}
     access = [(start, end) for start, kind, end in strong if kind == 1]
-    hidden = [(start, end) for start, kind, end in strong if kind != 1]
+    hidden = [(start, end) for start, kind, end in strong if kind == 0]
     sides = {
         "identifier": sorted(parts["identifier"] + access),
         "secret": sorted(parts["secret"] + hidden),
@@ -92,8 +93,10 @@ def linked_spans(
             if (start, end) in covered:
                 continue
             at = bisect_right(cuts, start)
-            low = max(start - reach, cuts[at - 1] if at else 0)
-            high = min(end + reach, cuts[at] if at < len(cuts) else len(text))
+            low = cuts[at - 1] if at else 0
+            high = cuts[at] if at < len(cuts) else len(text)
+            if reach is not None:
+                low, high = max(start - reach, low), min(end + reach, high)
             for other in COMPLEMENTS[role]:
                 n = bisect_left(begins[other], low)
                 if n < len(begins[other]) and begins[other][n] < high:
@@ -102,12 +105,12 @@ def linked_spans(
     return out
 
 
-def scan_secrets(documents: DataFrame, reach: int = REACH) -> DataFrame:
+def scan_secrets(documents: DataFrame, reach: int | None = None) -> DataFrame:
     """``doc_id``, the spans and their counts by kind for every row.
 
     ``spans`` is an array of ``(kind, start, end)`` by start, in code points, the end exclusive; a
     kind of ``KINDS`` that begins with ``linked_`` comes from the join. ``base`` has those of the strong
-    patterns alone. Null and empty texts have no span, repeated rows equal ones. Other columns
+    patterns alone. Null and empty texts have no span, repeated rows equal ones, an empty table no row. Other columns
     are not looked at.
     """
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
