@@ -251,8 +251,9 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
     distinct ``size``-word shingles. A text of fewer words is one shingle; a null, empty or blank
     text has none and is linked with nothing. ``component_id`` is the smallest ``doc_id`` that can
     be reached, ``kept`` says whether it is the row's own. Repeated rows fall into one component;
-    rows that share a ``doc_id`` but not their text are told apart by their sets. A null ``doc_id``
-    with an empty set has a null component and is kept. Other columns are not looked at.
+    rows that share a ``doc_id`` but not their text are told apart by their sets. A row without a ``doc_id``
+    belongs to the component of the rows of an equal set that have one; where there is none, it is
+    linked with nothing, has a null component and is kept. Other columns are not looked at.
     """
     made = stage(signatures(documents, size), "signatures")
     nodes = (

@@ -50,4 +50,4 @@ def with_followers(table: DataFrame, key: str, order: list[Column]) -> DataFrame
     other = F.struct(F.col("_part").alias("part"), F.lit(True).alias("borrowed"))
     places = F.when(F.col("_part").isNull(), F.array(own)).otherwise(F.array(own, other))
     rows = placed.withColumn("_place", F.explode(places)).select(*table.columns, "_place.*")
-    return rows.repartition(parts, "part").sortWithinPartitions("part", "borrowed", key, *order)
+    return rows.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "borrowed", key, *order)
