@@ -12,6 +12,7 @@ from recordhaul.llm import merkle
 from recordhaul.llm.html_text import extract_pages, main_text
 from recordhaul.llm.mixing import fit_steps, mix
 from recordhaul.llm.quality import Forest, describe, quality_verdicts
+from recordhaul.llm.queries import QUERIES
 from recordhaul.llm.secrets import KINDS, linked_spans, scan_secrets, strong_spans
 from tests.llm.cases import LABELS, clashing, documents, texts
 
@@ -53,6 +54,29 @@ def test_articles_within_what_seems_to_lie_outside(before, after):
     assert main_text(page) == f"T\n{TEXT}\n{TEXT}"
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='post-body ad-free'><p>{}</p><p>{}</p></div>",
+        "<div class='entry-content social-sharing-enabled'><p>{}</p><p>{}</p></div>",
+        "<div id=content class='widget-content'><p>{}</p><p>{}</p></div>",
+        "<article><p hidden>x<p>{}<p>{}</article>",
+        "<ul><li aria-hidden=true>x<li>{}</ul><p>{}</p>",
+        "<div><ul><li hidden>x</ul><p>{}</p><p>{}</p></div>",
+        "<table><tr><td hidden>x<td>{}<tr><td>{}</table>",
+        "<article><button>more<p>{}</p><p>{}</p></article>",
+        "<div><button>more<p>{}</p><p>{}</p></div>",
+        "<article><p>{}</p><section class='related-work'><p>{}</p></section></article>",
+        "<article><p>{}</p><p>{}</p><section class=responses><p>A reader says that it is so, and more.</p></section></article>",
+        "<article><p>{}</p><p>{}</p><div class=related><ul><li><a href=x>Another article, with a title</a></ul></div></article>",
+        "<article><p>{}</p><p>{}</p></article><button>a</button><div class='sidebar-content'><p>Beside it, in a few words of text.</p></div>",
+    ],
+)
+def test_articles_that_words_and_missing_ends_would_hide(page):
+    text = main_text(page.format(TEXT, TEXT))
+    assert text.removeprefix("more\n") == f"{TEXT}\n{TEXT}"
+
+
 def test_long_comments_stay_outside():
     comments = f"<div id=comments>{f'<p>{TEXT}</p>' * 9}</div>"
     assert main_text(f"<div id=content><p>{TEXT}</p></div>{comments}") == TEXT
@@ -89,6 +113,75 @@ def test_linked_parts_need_their_complement():
     assert [KINDS[k] for _, k, _ in linked_spans(key, strong_spans(key), 200)] == ["linked_secret"]
 
 
+def test_scope_alone_links_its_parts():
+    far = "user = admin1" + " x" * 300 + " password: abc123"
+    assert [KINDS[k] for _, k, _ in linked_spans(far, [])] == ["linked_identifier", "linked_secret"]
+    assert linked_spans(far.replace(" x x", "\n\n", 1), []) == []
+    commit = "See https://example.org/x at " + "0123456789abcdef" * 2 + "01234567"
+    assert linked_spans(commit, strong_spans(commit)) == []
+    capitals = "host=db.example.org " + "0123456789ABCDEF" * 2 + "01234567"
+    assert linked_spans(capitals, []) == []
+
+
+def _brute_spans(text):
+    """The strong spans, character by character."""
+    fits = lambda chars: lambda c: c in chars
+    lower, upper, digits = (set(map(chr, range(a, b))) for a, b in ((97, 123), (65, 91), (48, 58)))
+    value, out = lower | upper | digits | set("+/_.=-"), []
+
+    def run(at, good):
+        while at < len(text) and good(text[at]):
+            at += 1
+        return at
+
+    at = 0
+    small = "".join(c.lower() if c in upper else c for c in text)
+    while at < len(text):
+        end = None
+        for word in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+            if small.startswith(word, at):
+                n = at + len(word)
+                n += text[n : n + 1] in ("'", '"')
+                n = run(n, fits({" "}))
+                if text[n : n + 1] in (":", "="):
+                    n = run(n + 1, fits({" "}))
+                    n += text[n : n + 1] in ("'", '"')
+                    stop = run(n, fits(value))
+                    if stop > n:
+                        end = stop
+                        if stop - n >= 12:
+                            out.append((at, 0, stop))
+                break
+        at = end or at + 1
+    for kind, lead, good, least in ((1, "AKIA", upper | digits, 18), (2, "", digits | set("abcdef"), 16)):
+        at = 0
+        while at < len(text):
+            if text.startswith(lead, at) and (stop := run(at + len(lead), fits(good))) > at + len(lead):
+                if stop - at >= least:
+                    out.append((at, kind, stop))
+                at = stop
+            else:
+                at += 1
+    return sorted(out)
+
+
+def test_secret_query_equals_an_independent_scanner(spark):
+    folder = "/root/testdata/sf0.001"
+    every = texts(spark.read.parquet(f"{folder}/documents.parquet"))
+    rows = {r["doc_id"]: r for r in QUERIES["op3_secret_scan"](spark, folder).collect()}
+    assert rows.keys() == every.keys()
+    seen = 0
+    for key, text in every.items():
+        spans = _brute_spans(text)
+        joined = ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
+        row = rows[key]
+        assert row["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert [row["n_assign"], row["n_access"], row["n_hex"]] == [sum(k == n for _, k, _ in spans) for n in range(3)]
+        assert set(joined.split(",")) <= {*row["spans"].split(","), ""}
+        seen += len(spans)
+    assert seen > 5
+
+
 def test_strong_patterns():
     text = 'TOKEN = "abcdefghijkl" paſſword=zzzzzzzzzzzzzzzz 0123456789abcdefF AKIA0000'
     assert [(KINDS[k], text[a:b]) for a, k, b in strong_spans(text)] == [
