@@ -14,16 +14,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordhaul.functions import jsonl, text, times
-from recordhaul.operators import changes, dedup, ingest, messages, numbering, paging, search, stats
+from recordhaul.operators import (
+    block_index,
+    changes,
+    dedup,
+    folding,
+    ingest,
+    messages,
+    numbering,
+    paging,
+    search,
+    stats,
+)
 from recordhaul.plans.full_load import full_load, full_load_through_log
 from recordhaul.plans.load import load_directory
 from recordhaul.plans.statistics import directory_statistics
-from recordhaul.schemas import ARTICLE_MAPPING
-from recordhaul.session import new_folder
+from recordhaul.schemas import ARTICLE_MAPPING, TYPED_ENVELOPE
+from recordhaul.session import new_folder, stage
 from recordhaul.sinks.manifest import pending_files
 from recordhaul.sinks.messages import write_message_files
 from recordhaul.sinks.tables import append_table, full_refresh
 from recordhaul.sources.messages import read_message_files
+from recordhaul.streaming import collection
 from recordhaul.streaming.sync import current_documents, run_sync
 from recordhaul.streaming.sync import totals as sync_run_totals
 
@@ -512,16 +524,16 @@ def sync_totals(spark, sf_dir):
 
 @query("""
     SELECT event_type AS topic, CAST(user_id % 3 AS INTEGER) AS partition,
-           count(*) AS next_offset
+           max(event_id) + 1 AS next_offset
     FROM events GROUP BY 1, 2""")
 def next_offsets(spark, sf_dir):
     events = _table(spark, sf_dir, "events")
     sent = events.select(
         F.col("event_type").alias("topic"),
         F.pmod("user_id", F.lit(3)).cast("int").alias("partition"),
-        "event_id",
+        F.col("event_id").alias("offset"),
     )
-    return messages.next_offsets(messages.with_offsets(sent, ["event_id"]))
+    return messages.next_offsets(sent)
 
 
 @query("""
@@ -728,6 +740,15 @@ def match_stored_top(spark, sf_dir):
     return search.match_postings(index, search.index_stats(documents, index), _QUERY_TEXT, 25)
 
 
+@query(_MATCH_TOP_SQL)
+def match_block_top(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents")
+    path = new_folder(spark, "block-index")
+    index = stage(search.postings(documents, "doc_id", "text"), "postings")
+    block_index.write_block_index(index, search.index_stats(documents, index), path)
+    return block_index.top_hits(spark, path, _QUERY_TEXT, 25)[0]
+
+
 @query(f"""
     SELECT _id, score, doc_id, lang, source
     FROM ({_MATCH_TOP_SQL}) JOIN documents ON _id = CAST(doc_id AS VARCHAR)""")
@@ -805,6 +826,15 @@ def page_search(spark, sf_dir):
     return search.page_search(documents, "doc_id", 120, 40)
 
 
+@query("""
+    SELECT o_orderkey, o_totalprice
+    FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS place, count(*) OVER () AS n FROM orders)
+    WHERE place >= n // 2 AND place < n // 2 + 40""")
+def deep_page(spark, sf_dir):
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return paging.page_at(orders, "o_orderkey", orders.count() // 2, 40)
+
+
 @query("SELECT count(*) AS n FROM documents")
 def doc_count(spark, sf_dir):
     return search.doc_count(_table(spark, sf_dir, "documents"))
@@ -829,22 +859,25 @@ def _change_log(spark: SparkSession, sf_dir: str) -> str:
         F.col("user_id").cast("string").alias("key"),
         F.when(F.col("event_id") % 19 == 0, "{").otherwise(F.to_json(body)).alias("value"),
         F.col("ts").cast("timestamp").alias("timestamp"),
-        "event_id",
+        # Events are numbered in the order of their time, as a log numbers its messages.
+        F.col("event_id").alias("offset"),
     )
-    numbered = messages.with_offsets(sent, ["timestamp", "event_id"])
     log = new_folder(spark, "changes")
     write_message_files(
-        numbered.select("topic", "partition", "offset", "key", "value", "timestamp").repartition(4),
+        sent.select("topic", "partition", "offset", "key", "value", "timestamp").repartition(4),
         log,
     )
     return log
 
 
-@query("""
+_SYNC_SQL = """
     SELECT CAST(user_id AS VARCHAR) AS _id, event_type AS title, props AS content,
            event_id AS account_id, date_trunc('millisecond', ts) AS created_at
     FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
-          FROM events WHERE event_id % 19 <> 0) WHERE rn = 1""")
+          FROM events WHERE event_id % 19 <> 0) WHERE rn = 1"""
+
+
+@query(_SYNC_SQL)
 def stream_sync(spark, sf_dir):
     root = new_folder(spark, "sync")
     stream = read_message_files(spark, _change_log(spark, sf_dir), max_files=1)
@@ -866,6 +899,77 @@ def stream_sync_totals(spark, sf_dir):
     return sync_run_totals(spark, root)
 
 
+@query(_SYNC_SQL)
+def stream_sync_compacted(spark, sf_dir):
+    root = new_folder(spark, "collection")
+    stream = read_message_files(spark, _change_log(spark, sf_dir), max_files=1)
+    handler = collection.collection_handler(root, buckets=8)
+    run_sync(stream, root, handler=handler).awaitTermination()
+    collection.compact(spark, root, fanout=3)
+    collection.merge_base(spark, root)
+    collection.clean_up(spark, root)
+    return collection.collection(spark, root).select(
+        "_id", "title", "content", "account_id", _plain_time("created_at").alias("created_at")
+    )
+
+
+_CHANGE_KIND = "CASE WHEN event_id % 5 = 0 THEN 'delete' WHEN event_id % 5 < 3 THEN 'patch' ELSE 'put' END"
+
+
+def _typed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as puts, patches (of the title, or of title and content) and deletes of users."""
+    kind = F.expr(_CHANGE_KIND)
+    number = F.col("event_id")
+    shown = {
+        "id": F.when(kind == "put", F.col("user_id")),
+        "title": F.col("event_type"),
+        "content": F.when(kind == "put", F.col("props")),
+        "account_id": F.when(kind == "put", number),
+    }
+    body = F.to_json(F.struct(*[c.alias(n) for n, c in shown.items()]))
+    # A patch that names the content sets it to null.
+    body = F.when(number % 5 == 2, F.regexp_replace(body, "}$", ',"content":null}')).otherwise(body)
+    return _table(spark, sf_dir, "events").select(
+        F.lit("typed").alias("topic"),
+        F.pmod("user_id", F.lit(3)).cast("int").alias("partition"),
+        number.alias("offset"),
+        F.col("user_id").cast("string").alias("key"),
+        F.when(kind != "delete", body).alias("value"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        kind.alias("op"),
+    )
+
+
+_CHANGED_SQL = f"""
+    WITH changes AS (SELECT *, {_CHANGE_KIND} AS op FROM events),
+    resets AS (
+        SELECT user_id, max(event_id) AS start, arg_max(op, event_id) AS last
+        FROM changes WHERE op <> 'patch' GROUP BY user_id)
+    SELECT CAST(c.user_id AS VARCHAR) AS _id, arg_max(event_type, event_id) AS title,
+           arg_max({{'v': CASE WHEN op = 'put' THEN props END}}, event_id)
+               FILTER (WHERE op = 'put' OR event_id % 5 = 2).v AS content,
+           max(start) AS account_id
+    FROM changes c JOIN resets r ON c.user_id = r.user_id AND event_id >= start AND last = 'put'
+    GROUP BY c.user_id"""
+_CHANGED = ["_id", "title", "content", "account_id"]
+
+
+@query(_CHANGED_SQL)
+def fold_changes(spark, sf_dir):
+    decoded = folding.decode_changes(_typed_log(spark, sf_dir))
+    return folding.apply_changes(decoded).select(*_CHANGED)
+
+
+@query(_CHANGED_SQL)
+def stream_changes(spark, sf_dir):
+    log, root = new_folder(spark, "typed"), new_folder(spark, "collection")
+    write_message_files(_typed_log(spark, sf_dir).repartitionByRange(5, "offset"), log)
+    stream = read_message_files(spark, log, max_files=1, schema=TYPED_ENVELOPE)
+    handler = collection.collection_handler(root, buckets=8, compact_every=2)
+    run_sync(stream, root, handler=handler).awaitTermination()
+    return collection.collection(spark, root).select(*_CHANGED)
+
+
 # --- contract ---------------------------------------------------------------------
 
 _ENTRY_DIR = "/root/testdata/sf0.001"

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordhaul.functions import jsonl, times
 from recordhaul.operators.changes import document_id
-from recordhaul.operators.numbering import number_rows
 from recordhaul.operators.once import evaluate_once
 from recordhaul.schemas import (
     ARTICLE_MAPPING,
@@ -41,16 +38,6 @@ def to_messages(
     )
 
 
-def with_offsets(messages: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Give messages the offset a log would: 0-based, per topic and partition, in ``order``.
-
-    Needed only where no broker assigns it. A log has few partitions, each with a large
-    share of the rows; see ``number_rows``.
-    """
-    numbered = number_rows(messages, order, within=["topic", "partition"], name="offset")
-    return numbered.withColumn("offset", F.col("offset") - 1)
-
-
 def decode_messages(
     messages: DataFrame,
     mapping: dict = ARTICLE_MAPPING,

@@ -34,6 +34,56 @@ def next_page(df: DataFrame, key: str, last: int, size: int = PAGE_SIZE) -> Data
     return df.filter(F.col(key) > last).orderBy(key).limit(size)
 
 
+#: Counts that one pass over the keys gives back.
+BINS = 4096
+
+
+def key_at(df: DataFrame, key: str, place: int) -> int | None:
+    """The integer key at a 0-based place of the order; None beyond the last one.
+
+    An order statistic by histograms: a pass counts the keys of ``BINS`` equal ranges, and the next one looks
+    into the range that holds the place. Six passes do for any 64-bit keys, each over one column and, after the
+    first, over what the scan cannot prune of one range. Nothing is sorted or shuffled but the counts.
+    """
+    if df.schema[key].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        raise TypeError("the key must be an integer")
+    keys = df.select(F.col(key).cast("bigint").alias("key")).filter("key IS NOT NULL")
+    low, high, count = keys.agg(F.min("key"), F.max("key"), F.count("*")).first()
+    if place < 0 or place >= count:
+        return None
+    while low < high:
+        width = -(-(high - low + 1) // BINS)
+        inside = keys.filter(F.col("key").between(low, high))
+        if high - low < 1 << 62:
+            number = F.call_function("div", F.col("key") - low, F.lit(width))
+        else:  # the difference may exceed 64 bits; width is a power of two times less than that
+            number = F.call_function("div", F.col("key").cast("decimal(20,0)") - low, F.lit(width))
+        within = inside.select(number.cast("int").alias("bin"))
+        counts = within.groupBy("bin").agg(F.count("*").alias("n")).collect()  # BINS rows at most
+        for number, n in sorted(map(tuple, counts)):
+            if place < n:
+                low, high = low + number * width, min(high, low + (number + 1) * width - 1)
+                break
+            place -= n
+    return low
+
+
+def page_at(df: DataFrame, key: str, skip: int, size: int) -> DataFrame:
+    """``size`` rows after the first ``skip`` in key order, however deep the page lies.
+
+    The page's first and last key are found by ``key_at``, and a filter on them reaches the scan; rows before the
+    page are counted and never brought together. Keys are unique; rows without one are in no page.
+    """
+    first = key_at(df, key, skip) if size > 0 else None
+    if first is None:
+        return df.filter(F.lit(False))
+    last = key_at(df.filter(F.col(key) >= first), key, size - 1)
+    page = df.filter(F.col(key) >= first)
+    if last is not None:
+        page = page.filter(F.col(key) <= last)
+    return page.orderBy(key).limit(size)
+
+
 def page_plan(df: DataFrame, key: str, size: int = PAGE_SIZE) -> DataFrame:
     """All keyset pages of the table: disjoint, complete, each row once."""
     numbered = number_rows(df.select(key), [key])

@@ -30,10 +30,17 @@ def full_load(articles: DataFrame, mapping: dict = ARTICLE_MAPPING) -> tuple[Dat
 def full_load_through_log(
     spark: SparkSession, articles: DataFrame, log: str, root: str, mapping: dict = ARTICLE_MAPPING
 ) -> DataFrame:
-    """The same through a log of files and the streaming sync."""
-    numbered = M.with_offsets(snapshot_messages(articles), ["key"])
-    envelopes = numbered.select(
-        "topic", "partition", "offset", "key", "value", F.current_timestamp().alias("timestamp")
+    """The same through a log of files and the streaming sync.
+
+    A row's id is its offset: ids are unique, and a log need not be without gaps.
+    """
+    envelopes = snapshot_messages(articles).select(
+        "topic",
+        "partition",
+        F.col("key").cast("bigint").alias("offset"),
+        "key",
+        "value",
+        F.current_timestamp().alias("timestamp"),
     )
     write_message_files(envelopes, log)
     run_sync(read_message_files(spark, log), root, mapping=mapping).awaitTermination()

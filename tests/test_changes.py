@@ -166,15 +166,13 @@ def test_generated_ids_are_stable(spark):
     assert [row["reason"] for row in first] == [None, None, None, "no_id"]
 
 
-def test_message_order_and_offsets(spark):
+def test_message_partitions_and_next_offsets(spark):
     records = spark.range(100).select("id", F.lit("x").alias("title"))
     sent = messages.to_messages(records)
-    assert {row["partition"] for row in sent.collect()} == {0, 1, 2}
-    numbered = messages.with_offsets(sent.withColumn("n", F.col("key").cast("int")), ["n"])
-    places = sorted((row["partition"], row["offset"], row["n"]) for row in numbered.collect())
-    assert places == sorted((n % 3, n // 3, n) for n in range(100))
-    assert as_set(messages.next_offsets(numbered)) == {
-        ("full_load", 0, 34), ("full_load", 1, 33), ("full_load", 2, 33),
+    assert {(row["partition"], int(row["key"]) % 3) for row in sent.collect()} == {(n, n) for n in range(3)}
+    placed = sent.withColumn("offset", F.col("key").cast("bigint"))
+    assert as_set(messages.next_offsets(placed)) == {
+        ("full_load", 0, 100), ("full_load", 1, 98), ("full_load", 2, 99),
     }
 
 

@@ -24,15 +24,18 @@ def read(spark, name):
 
 
 LAZY = sorted(
-    set(entry.queries())
-    - {"load_folder", "stream_sync", "stream_sync_totals", "full_load_log"}
-)
+    set(entry._QUERIES)
+    - {
+        "load_folder", "stream_sync", "stream_sync_totals", "full_load_log", "stream_sync_compacted",
+        "stream_changes",
+    }
+)
 
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_python_and_no_pair_join(spark, name):
-    text = plan(entry.queries()[name](spark, SF_DIR))
-    assert not re.search("Python|ArrowEval|MapInPandas|CartesianProduct|NestedLoop", text)
+    text = plan(entry._QUERIES[name](spark, SF_DIR))
+    assert not re.search("Python|ArrowEval|MapInPandas|MapInArrow|CartesianProduct|NestedLoop", text)
 
 
 def test_parsing_happens_once(spark):
@@ -76,3 +79,10 @@ def test_match_reads_two_columns(spark):
     text = plan(search.match_search(read(spark, "documents"), "doc_id", "text", "the", 5))
     assert "lang" not in text
     assert "TakeOrderedAndProject" in text
+
+
+def test_a_deep_page_brings_no_skipped_row_together(spark):
+    orders = read(spark, "orders").select("o_orderkey")
+    text = plan(paging.page_at(orders, "o_orderkey", 1200, 40))
+    assert "TakeOrderedAndProject(limit=40" in text and "Exchange" not in text
+    assert "GreaterThanOrEqual(o_orderkey" in text and "LessThanOrEqual(o_orderkey" in text

@@ -67,6 +67,24 @@ def test_following_pages_ends(spark):
     assert seen == [n * 7 + 3 for n in range(1005)]
 
 
+@pytest.mark.parametrize("bins", [2, 7, 4096])
+def test_pages_at_any_depth(spark, monkeypatch, bins):
+    monkeypatch.setattr(paging, "BINS", bins)
+    keys = [-(1 << 63), -(1 << 40), -5, -4, 0, 1, 2, 1 << 50, (1 << 63) - 1]
+    table = spark.createDataFrame([(k,) for k in [*keys[::-1], None]], "id long")
+    for skip in range(11):
+        page = [row["id"] for row in paging.page_at(table, "id", skip, 3).collect()]
+        assert page == keys[skip : skip + 3]
+    assert paging.page_at(table, "id", 0, 0).collect() == []
+    assert paging.page_at(table.filter("id IS NULL"), "id", 0, 5).collect() == []
+    assert [paging.key_at(table, "id", n) for n in (-1, 4, 9)] == [None, 0, None]
+
+
+def test_pages_need_an_integer_key(spark):
+    with pytest.raises(TypeError):
+        paging.page_at(spark.createDataFrame([("a",)], "id string"), "id", 0, 1)
+
+
 def test_keyset_page_starts_at_the_key(spark):
     page = [row["id"] for row in paging.keyset_page(ids(spark), "id", 10, 3).collect()]
     assert page == [10, 17, 24]
