@@ -9,6 +9,7 @@ Since the tables are clean, damaged rows are made from all rows by a rule on the
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,11 +37,14 @@ from recordhaul.sinks.messages import write_message_files
 from recordhaul.sinks.tables import append_table, full_refresh
 from recordhaul.sources.messages import read_message_files
 from recordhaul.streaming import collection
-from recordhaul.streaming.sync import current_documents, run_sync
+from recordhaul.streaming.sync import current_documents, delivery_handler, run_sync
 from recordhaul.streaming.sync import totals as sync_run_totals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Where this repository's package can be imported from, for Python workers.
+_ROOT = str(Path(__file__).resolve().parent)
+
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
@@ -913,6 +917,40 @@ def stream_sync_compacted(spark, sf_dir):
     )
 
 
+def _picky_sender():
+    """A sink that fails on its first call and takes no errors."""
+    calls = []
+
+    def send(rows):
+        calls.append(len(rows))
+        if len(calls) == 1:
+            raise OSError("try again")
+        return ["refused" if row["title"] == "error" else None for row in rows]
+
+    return send
+
+
+@query(f"""
+    SELECT 'full_load_dlq' AS topic, CAST(event_id % 3 AS INTEGER) AS partition,
+           coalesce({_REASON_SQL}, 'refused') AS reason, count(*) AS rows
+    FROM events WHERE {_REASON_SQL} IS NOT NULL OR event_type = 'error' GROUP BY ALL""")
+def stream_dead_letters(spark, sf_dir):
+    log, root, topic = (new_folder(spark, name) for name in ("damaged", "delivered", "dead-topic"))
+    sent = _damaged_messages(spark, sf_dir).withColumns(
+        {"offset": F.col("key").cast("bigint"), "timestamp": F.lit(None).cast("timestamp")}
+    )
+    names = ["topic", "partition", "offset", "key", "value", "timestamp"]
+    write_message_files(sent.select(*names).repartition(3), log)
+    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+    handler = delivery_handler(root, _picky_sender, dead_topic=topic, pause=0.0)
+    run_sync(read_message_files(spark, log, max_files=1), root, handler=handler).awaitTermination()
+    dead = spark.read.parquet(f"{root}/dead_letters").select("partition", "value", "reason")
+    told = spark.read.parquet(topic).select("topic", "partition", "value")
+    # What the topic has, with its reason.
+    both = told.join(dead, (told.partition == dead.partition) & (told.value == dead.value))
+    return both.groupBy("topic", told.partition, "reason").agg(F.count("*").alias("rows"))
+
+
 _CHANGE_KIND = "CASE WHEN event_id % 5 = 0 THEN 'delete' WHEN event_id % 5 < 3 THEN 'patch' ELSE 'put' END"
 
 

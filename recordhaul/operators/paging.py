@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,8 +57,8 @@ def key_at(df: DataFrame, key: str, place: int) -> int | None:
         inside = keys.filter(F.col("key").between(low, high))
         if high - low < 1 << 62:
             number = F.call_function("div", F.col("key") - low, F.lit(width))
-        else:  # the difference may exceed 64 bits; width is a power of two times less than that
-            number = F.call_function("div", F.col("key").cast("decimal(20,0)") - low, F.lit(width))
+        else:  # the difference may exceed 64 bits
+            number = F.call_function("div", F.col("key").cast("decimal(20,0)") - low, F.lit(Decimal(width)))
         within = inside.select(number.cast("int").alias("bin"))
         counts = within.groupBy("bin").agg(F.count("*").alias("n")).collect()  # BINS rows at most
         for number, n in sorted(map(tuple, counts)):

@@ -21,12 +21,14 @@ from pyspark.sql.streaming import StreamingQuery
 from recordhaul.operators.changes import latest_per_key
 from recordhaul.operators.messages import (
     PLACE,
+    dead_letter_messages,
     decode_messages,
     split_dead_letters,
     sync_totals,
 )
 from recordhaul.schemas import ARTICLE_MAPPING
-from recordhaul.session import finished, matches
+from recordhaul.session import matches, stage
+from recordhaul.sinks.delivery import Sender, deliver
 
 # Tries and pause of a failing write, time between commits.
 ATTEMPTS = 3
@@ -79,18 +81,22 @@ def batch_handler(
     write: Writer = write_parquet,
     attempts: int = ATTEMPTS,
     pause: float = PAUSE_SECONDS,
+    dead_topic: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: decode, keep the last row per id, write, account.
 
     Messages that cannot be decoded, and all documents of a batch whose write keeps
-    failing, become dead letters; the offset moves on.
+    failing, become dead letters; the offset moves on. An error in computing the batch is none of its
+    write: it fails the query, which goes on from its checkpoint. With ``dead_topic`` dead letters are
+    also written there, as messages of their own topic.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         decoded = decode_messages(batch, mapping, key).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             documents, dead = split_dead_letters(decoded)
-            changes = latest_per_key(documents, "_id", order)
+            changes = latest_per_key(documents, "_id", order).persist(StorageLevel.MEMORY_AND_DISK)
+            changes.count()  # computed before the first try, so that only the write is tried again
             outcome = write_with_retry(
                 changes, f"{root}/changes/batch_id={batch_id}", write, attempts, pause
             )
@@ -104,7 +110,8 @@ def batch_handler(
                     "attempts",
                     F.when(F.col("reason") == "write_failed", outcome.attempts).otherwise(0),
                 )
-            write_parquet(dead, f"{root}/dead_letters/batch_id={batch_id}")
+            changes.unpersist()
+            write_dead_letters(dead, root, batch_id, dead_topic)
             write_parquet(sync_totals(judged), f"{root}/totals/batch_id={batch_id}")
         finally:
             decoded.unpersist()
@@ -112,6 +119,70 @@ def batch_handler(
     return handle
 
 
+def write_dead_letters(dead: DataFrame, root: str, batch_id: int, topic: str | None = None) -> None:
+    """Dead letters of a batch with their reasons, and as messages to the log ``topic`` if there is one.
+
+    Both go to folders of the batch, so a batch that is run again leaves none twice.
+    """
+    write_parquet(dead, f"{root}/dead_letters/batch_id={batch_id}")
+    if topic is not None:
+        kept = dead.sparkSession.read.schema(dead.schema).parquet(f"{root}/dead_letters/batch_id={batch_id}")
+        write_parquet(dead_letter_messages(kept), f"{topic}/batch_id={batch_id}")
+
+
+def delivery_handler(
+    root: str,
+    make_sender: Callable[[], Sender],
+    mapping: dict = ARTICLE_MAPPING,
+    key: str = "id",
+    order: Sequence[str] = DEFAULT_ORDER,
+    generate_ids: bool = False,
+    dead_topic: str | None = None,
+    **delivery,
+) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function for a sink outside of Spark: each task sends its rows, in calls.
+
+    A task retries its own calls; what it gives up or the sink refuses comes back as rows and becomes dead
+    letters, the rest of the batch is delivered. Documents of one batch are sent once per id. With
+    ``generate_ids``, a message without an id gets one from its place in the log. A batch that is run
+    again sends again, under the same ids.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        decoded = decode_messages(batch, mapping, key, not generate_ids)
+        decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            documents, undecoded = split_dead_letters(decoded)
+            sent = deliver(latest_per_key(documents, "_id", order), make_sender, **delivery)
+            sent = stage(sent, "delivery")  # sends; a lost task sends its rows again
+            rejected = sent.filter(F.col("reason").isNotNull())
+            _, given_up = split_dead_letters(rejected.drop("attempts", "delivered"))
+            tries = rejected.select(*[F.col(c) for c in order], F.col("attempts").alias("_tries"))
+            at = [given_up[c.removeprefix("m_")].eqNullSafe(tries[c]) for c in order]
+            given_up = given_up.join(tries, at).withColumn("attempts", F.col("_tries"))
+            dead = undecoded.unionByName(given_up.select(*undecoded.columns))
+            write_dead_letters(dead, root, batch_id, dead_topic)
+            lost = rejected.select(F.lit("x").alias("reason"))
+            held = decoded.select(F.col("reason")).unionByName(lost)
+            figures = held.agg(
+                F.count("*").alias("seen"), F.count_if(F.col("reason") == "x").alias("lost"),
+                F.count_if(F.col("reason").isNotNull()).alias("failed"),
+            )
+            consumed = F.col("seen") - F.col("lost")
+            share = F.round((consumed - F.col("failed")) * 100.0 / F.nullif(consumed, F.lit(0)), 2)
+            write_parquet(
+                figures.select(
+                    consumed.alias("consumed"), (consumed - F.col("failed")).alias("ok"), "failed",
+                    share.alias("ok_pct"),
+                ),
+                f"{root}/totals/batch_id={batch_id}",
+            )
+        finally:
+            decoded.unpersist()
+
+    return handle
+
+
 def run_sync(
     messages: DataFrame,
     root: str,

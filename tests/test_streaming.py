@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from recordhaul.plans.full_load import full_load_through_log
 from recordhaul.schemas import ENVELOPE
+from recordhaul.sinks.delivery import send_rows
 from recordhaul.sources.messages import read_message_files
 from recordhaul.streaming import sync
 
@@ -156,3 +157,89 @@ def test_compaction_stops_at_a_batch_that_broke_off(spark, places):
     assert titles(spark, root) == whole
     assert sync.compact(spark, root) == 2
     assert titles(spark, root) == whole
+
+
+def test_an_error_in_computing_fails_the_query(spark, places):
+    log, root = places
+    put(spark, log, "a", [(0, doc(1, "one"))])
+    stream = read_message_files(spark, f"{log}/*", topics=["t"])
+    broken = stream.withColumn("value", F.when(F.col("offset") >= 0, F.raise_error(F.lit("no row"))))
+    with pytest.raises(Exception, match="no row"):
+        sync.run_sync(broken, root, attempts=2, pause=0).awaitTermination()
+    assert not Path(f"{root}/dead_letters").exists()
+
+
+def test_dead_letters_reach_their_topic_once(spark, places, tmp_path):
+    log, root = places
+    topic = str(tmp_path / "dlq")
+    put(spark, log, "a", [(0, doc(1, "one")), (1, "{"), (2, "[]")])
+    run(spark, log, root, dead_topic=topic)
+    sync.batch_handler(root, dead_topic=topic)(spark.read.schema(ENVELOPE).parquet(f"{log}/a"), 0)
+    rows = {(r["topic"], r["partition"], r["value"]) for r in spark.read.parquet(topic).collect()}
+    assert rows == {("full_load_dlq", 0, "{"), ("full_load_dlq", 0, "[]")}
+    assert spark.read.parquet(topic).count() == 2
+
+
+def _sender_that_refuses(number, failures=0):
+    def make():
+        calls = []
+
+        def send(rows):
+            calls.append(1)
+            if len(calls) <= failures:
+                raise OSError("down")
+            return ["too long" if r["id"] == number else None for r in rows]
+
+        return send
+
+    return make
+
+
+def test_a_task_retries_its_own_rows(spark, places):
+    log, root = places
+    put(spark, log, "a", [(n, doc(n, f"t{n}")) for n in range(9)] + [(9, "x")])
+    handler = sync.delivery_handler(root, _sender_that_refuses(4, failures=2), call_rows=100, pause=0)
+    run(spark, log, root, handler=handler)
+    dead = {(r["offset"], r["reason"], r["attempts"]) for r in sync.dead_letters(spark, root).collect()}
+    assert (9, "malformed", 0) in dead and len(dead) == 2
+    assert {x[:2] for x in dead} == {(4, "too long"), (9, "malformed")}
+    assert tuple(sync.totals(spark, root).first()) == (10, 8, 2, 80.0)
+
+
+def test_a_sink_that_stays_down_costs_its_calls_only(spark, places):
+    log, root = places
+    put(spark, log, "a", [(n, doc(n, f"t{n}")) for n in range(6)])
+
+    def make():
+        def send(rows):
+            if any(r["id"] == 2 for r in rows):
+                raise OSError("down")
+            return [None] * len(rows)
+
+        return send
+
+    run(spark, log, root, handler=sync.delivery_handler(root, make, call_rows=1, pause=0, attempts=2))
+    dead = [(r["offset"], r["reason"], r["attempts"]) for r in sync.dead_letters(spark, root).collect()]
+    assert dead == [(2, "write_failed", 2)]
+
+
+def test_messages_without_an_id_are_delivered_with_one(spark, places):
+    log, root = places
+    put(spark, log, "a", [(0, json.dumps({"title": "a"})), (1, json.dumps({"title": "b"}))])
+
+    def make():
+        return lambda rows: [None if len(r["_id"]) == 64 else "no id" for r in rows]
+
+    run(spark, log, root, handler=sync.delivery_handler(root, make, generate_ids=True))
+    assert sync.dead_letters(spark, root).count() == 0 and sync.totals(spark, root).first()["ok"] == 2
+
+
+@pytest.mark.parametrize(("failures", "tries", "pauses"), [(0, 1, 0), (2, 3, 2), (9, 3, 2)])
+def test_calls_and_pauses(failures, tries, pauses):
+    slept = []
+    send = _sender_that_refuses(1, failures)()
+    refused, took = send_rows([{"id": 1}, {"id": 2}], send, 3, 2.0, slept.append)
+    assert (took, len(slept)) == (tries, pauses)
+    assert refused == (["write_failed"] * 2 if failures > 3 else ["too long", None])
+    with pytest.raises(ValueError):
+        send_rows([{"id": 1}], lambda rows: [], 3, 0)
