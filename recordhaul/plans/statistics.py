@@ -14,7 +14,7 @@ def directory_statistics(
     """(one row per file, one summary row) of all JSON-lines files below ``directory``."""
     lines = read_lines(spark, directory, recursive=True, pattern=pattern, skip_unreadable=True)
     files = list_files(spark, directory, recursive=True, pattern=pattern)
-    counts = stats.json_counts(lines) if validate else stats.line_counts(lines)
+    counts = stats.json_counts(lines, sized=True) if validate else stats.line_counts(lines, sized=True)
     per_file = stats.with_all_files(counts, files)
     summary = stats.json_summary(per_file) if validate else stats.line_count_summary(per_file)
     return per_file, summary

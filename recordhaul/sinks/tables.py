@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import DataFrame, SparkSession
 
 from recordhaul.schemas import BATCH_SIZE
+from recordhaul.session import matches, remove
 
 
 def jdbc_write_options(url: str, table: str, batch: int = BATCH_SIZE, **more: str) -> dict[str, str]:
@@ -35,3 +38,35 @@ def append_table(
 def full_refresh(df: DataFrame, path: str) -> None:
     """Replace the whole table; it need not exist."""
     df.write.mode("overwrite").parquet(path)
+
+
+def _generations(spark: SparkSession, path: str, mark: str = "") -> list[int]:
+    found = matches(spark, f"{path}/generation=*{mark}")
+    return sorted(int(re.search(r"generation=(\d+)", name)[1]) for name in found)
+
+
+def refresh(df: DataFrame, path: str, keep: int = 2) -> int:
+    """Replace the whole table by a new generation of it; returns its number.
+
+    A generation counts from the marker on that ends its write, so a write that breaks off leaves the table as it
+    was, and readers of the one before go on. ``keep`` finished generations stay, and broken-off ones older than
+    them go. Two refreshes of one table must not run at once.
+    """
+    if keep < 1:
+        raise ValueError("the generation just written has to stay")
+    spark = df.sparkSession
+    number = max(_generations(spark, path), default=0) + 1
+    df.write.parquet(f"{path}/generation={number}")
+    done = _generations(spark, path, "/_SUCCESS")
+    for old in _generations(spark, path):
+        if old < done[-keep:][0]:
+            remove(spark, f"{path}/generation={old}")
+    return number
+
+
+def read_refreshed(spark: SparkSession, path: str) -> DataFrame:
+    """The newest finished generation."""
+    done = _generations(spark, path, "/_SUCCESS")
+    if not done:
+        raise ValueError(f"no refresh of {path} has ended yet")
+    return spark.read.parquet(f"{path}/generation={done[-1]}")

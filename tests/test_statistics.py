@@ -55,6 +55,29 @@ def test_unreadable_file_is_counted_apart(spark):
     assert tuple(stats.line_count_summary(per_file).first()) == (2, 7, 1, 3)
 
 
+@pytest.mark.parametrize("validate", [False, True])
+def test_a_file_read_in_part_counts_nowhere(spark, tmp_path, validate):
+    # Written with checksums, of which one fails in the middle.
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+    files = jvm.FileSystem.getLocal(conf)
+    for name in ("whole", "broken"):
+        out = files.create(jvm.Path(str(tmp_path / f"{name}.jsonl")))
+        out.write(bytearray(b'{"a": 1}\n' * 40_000))
+        out.close()
+    (tmp_path / "mark.jsonl").write_bytes(b"\xef\xbb\xbf{}\n{}")
+    data = bytearray((tmp_path / "broken.jsonl").read_bytes())
+    data[200_000] = ord("x")
+    (tmp_path / "broken.jsonl").write_bytes(data)
+    per_file, summary = directory_statistics(spark, str(tmp_path), validate)
+    rows = by_name(per_file)
+    assert {n: (r["records"], r["failed"]) for n, r in rows.items()} == {
+        "whole.jsonl": (40_000, False), "broken.jsonl": (0, True), "mark.jsonl": (2, False),
+    }
+    row = summary.first()
+    assert (row["files"], row["records"], row["error_files"]) == (2, 40_002, 1)
+
+
 def test_summary_of_nothing(spark):
     counts = spark.createDataFrame([], "file string, records long, invalid long")
     assert tuple(stats.json_summary(counts).first()) == (0, 0, 0, 0, None, None)

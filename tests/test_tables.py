@@ -6,7 +6,7 @@ from recordhaul.plans.duplicates import find_duplicates
 from recordhaul.schemas import ARTICLE_MAPPING, mapping_fields, mapping_schema
 from recordhaul.sinks.manifest import add_to_manifest, pending_files, read_manifest
 from recordhaul.sinks.messages import broker_write_options
-from recordhaul.sinks.tables import append_table, full_refresh, jdbc_write_options
+from recordhaul.sinks.tables import append_table, full_refresh, jdbc_write_options, read_refreshed, refresh
 from recordhaul.sources.messages import broker_options
 from recordhaul.sources.tables import jdbc_read_options, read_table
 
@@ -115,6 +115,23 @@ def test_append_refresh_and_read(spark, tmp_path):
         read_table(spark)
 
 
+def test_a_refresh_that_breaks_off_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(ValueError):
+        read_refreshed(spark, path)
+    assert refresh(ids(spark).limit(5), path) == 1
+    broken = ids(spark).withColumn("id", F.when(F.col("id") > 700, F.raise_error(F.lit("stop"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="stop"):
+        refresh(broken, path)
+    assert read_refreshed(spark, path).count() == 5
+    held = read_refreshed(spark, path)
+    assert refresh(ids(spark).limit(9), path) == 3 and read_refreshed(spark, path).count() == 9
+    assert held.count() == 5  # a reader of the generation before
+    assert refresh(read_refreshed(spark, path).limit(2), path) == 4  # from the table itself
+    assert read_refreshed(spark, path).count() == 2
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["generation=3", "generation=4"]
+
+
 def test_manifest(spark, tmp_path):
     path = str(tmp_path / "done")
     files = spark.createDataFrame([("a",), ("b",), ("c",)], "file string")
