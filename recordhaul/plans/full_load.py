@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from recordhaul.operators import messages as M
 from recordhaul.operators.changes import upsert
-from recordhaul.schemas import ARTICLE_MAPPING, TOPIC
+from recordhaul.schemas import ARTICLE_MAPPING, TOPIC, mapping_fields
 from recordhaul.sinks.messages import write_message_files
 from recordhaul.sources.messages import read_message_files
 from recordhaul.streaming.sync import DEFAULT_ORDER, current_documents, run_sync
@@ -20,11 +20,14 @@ def snapshot_messages(articles: DataFrame, topic: str = TOPIC) -> DataFrame:
 def full_load(articles: DataFrame, mapping: dict = ARTICLE_MAPPING) -> tuple[DataFrame, DataFrame]:
     """(documents, dead letters) of the whole table in one batch job.
 
-    A row's latest message is the one with the greatest id and place; there is one per id.
+    There is one message per id; of rows that share one, the one of the greatest digest stays. Only the
+    fields are shuffled, not the message that they came from.
     """
     decoded = M.decode_messages(snapshot_messages(articles), mapping)
     documents, dead = M.split_dead_letters(decoded)
-    return upsert(None, documents, "_id", ["m_partition", "m_key", "m_value"]), dead
+    fields = list(mapping_fields(mapping))
+    narrow = documents.select("_id", *fields, F.xxhash64(*fields).alias("_digest"))
+    return upsert(None, narrow, "_id", ["_digest"]).drop("_digest"), dead
 
 
 def full_load_through_log(

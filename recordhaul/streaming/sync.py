@@ -95,7 +95,10 @@ def batch_handler(
         decoded = decode_messages(batch, mapping, key).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             documents, dead = split_dead_letters(decoded)
-            changes = latest_per_key(documents, "_id", order).persist(StorageLevel.MEMORY_AND_DISK)
+            # Of the message only its place is kept beside the fields.
+            envelope = [c for c in documents.columns if c.startswith("m_") and c not in order]
+            changes = latest_per_key(documents.drop(*envelope), "_id", order)
+            changes = changes.persist(StorageLevel.MEMORY_AND_DISK)
             changes.count()  # computed before the first try, so that only the write is tried again
             outcome = write_with_retry(
                 changes, f"{root}/changes/batch_id={batch_id}", write, attempts, pause
