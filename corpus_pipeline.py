@@ -75,7 +75,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def target_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their rate says: likely toxic ones once or not at all, others up to four times."""
+    """Documents as often as their rate says: likely toxic ones once or not at all, others up to four times.
+
+    Null and empty texts have no token and come as often as texts without a telling word. Repeated rows
+    come equally often each. Without labels every document is half toxic by chance alone, so none is
+    likelier toxic than not and all stay. An empty table stays empty.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     toxic = F.col("p_toxic") > TOXIC
     bounds = (F.when(toxic, 0.0).otherwise(1.0), F.when(toxic, 1.0).otherwise(MOST))
@@ -85,7 +90,11 @@ def target_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, over sequences of at most 4096 tokens."""
+    """The pieces of all documents, over sequences of at most 4096 tokens.
+
+    Null and empty texts are their end id alone; repeated rows and copies are packed each; an empty table
+    has no piece.
+    """
     return pack_documents(docs)
 
 
