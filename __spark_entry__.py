@@ -29,6 +29,8 @@ from recordhaul.operators import (
 )
 from recordhaul.plans.full_load import full_load, full_load_through_log
 from recordhaul.plans.load import load_directory
+from recordhaul.plans.load_stream import load_stream as load_lines
+from recordhaul.plans.load_stream import loaded
 from recordhaul.plans.statistics import directory_statistics
 from recordhaul.schemas import ARTICLE_MAPPING, TYPED_ENVELOPE
 from recordhaul.session import new_folder, stage
@@ -245,6 +247,20 @@ def load_folder(spark, sf_dir):
     return _record_columns(spark.read.parquet(table))
 
 
+@query(_RECORDS_SQL)
+def load_stream(spark, sf_dir):
+    folder, table, marks = (new_folder(spark, label) for label in ("load-in", "load-out", "load-marks"))
+    lines = _record_lines(spark, sf_dir)
+    for third in range(3):  # files arrive between the runs
+        arrived = lines.filter(F.pmod(F.xxhash64("doc_id"), F.lit(3)) == third).select("source", "value")
+        arrived.write.mode("append").partitionBy("source").text(folder)
+        load_time = F.lit(_LOAD_TIME).cast("timestamp")
+        load_lines(
+            spark, folder, table, marks, load_time, pattern="*.txt", recursive=True, max_files=10
+        ).awaitTermination()
+    return _record_columns(loaded(spark, table))
+
+
 @query(f"""
     SELECT event_id, CASE WHEN json_valid(line) THEN CAST(json_extract(line, '$.k') AS BIGINT) END AS k
     FROM ({_DAMAGED_SQL})""")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recordhaul.operators import ingest
+from recordhaul.plans import load_stream as streamed
 from recordhaul.plans.load import load_directory
 
 
@@ -193,3 +194,31 @@ def test_a_line_too_long_is_refused_alone(spark, folder):
     assert loaded(spark, folder) == list(enumerate(ALL, 1))
     assert manifest(spark, folder) == ["a.jsonl", "b.jsonl", "c.jsonl"]
     assert load(spark, folder, "two") is None
+
+
+def test_a_stream_of_files_loads_each_once_with_lasting_ids(spark, tmp_path):
+    folder, table, marks = (str(tmp_path / name) for name in ("in", "out", "marks"))
+    (tmp_path / "in").mkdir()
+
+    def arrive(name, *values):
+        (tmp_path / "in" / name).write_text("".join(f"{v}\n" for v in values))
+
+    def run():
+        streamed.load_stream(spark, folder, table, marks, max_files=1).awaitTermination()
+        return {r["content"]: r["id"] for r in streamed.loaded(spark, table).collect()}
+
+    arrive("a.jsonl", '{"content": "one"}', "{", '{"content": "two"}')
+    arrive("skipped.txt", '{"content": "no"}')
+    first = run()
+    assert sorted(first.values()) == [1, 2] and first["one"] < first["two"]
+    arrive("b.jsonl", "bad")
+    arrive("c.jsonl", '{"content": "three"}', '{"content": ""}')
+    assert run() == {**first, "three": 3} == run()
+    batch = spark.createDataFrame([('{"content": "three"}', "c", 0)], "value string, file string, block_start long")
+    last = max(int(p.name.split("=")[1]) for p in (tmp_path / "out").glob("load_id=*"))
+    streamed.load_handler(table)(batch, last)  # a batch that is run again
+    assert {r["content"]: r["id"] for r in streamed.loaded(spark, table).collect()} == {**first, "three": 3}
+    refused = spark.read.parquet(f"{table}-refused").groupBy("reason").sum("rows").collect()
+    assert ("malformed", 2) in {tuple(r) for r in refused}
+    with pytest.raises(ValueError):
+        streamed.loaded(spark, str(tmp_path / "none"))
