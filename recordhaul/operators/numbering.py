@@ -17,6 +17,8 @@ from recordhaul.schemas import BATCH_SIZE
 from recordhaul.session import stage
 
 FILE_ORDER = ["file", "block_start", "seq"]
+#: Blocks of a scan whose shifts are broadcast: three numbers each, some 50 MB in all.
+BROADCAST_BLOCKS = 500_000
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row within the task in these bits
 
 
@@ -85,7 +87,9 @@ def number_lines(rows: DataFrame, within_file: bool = False, name: str = "pos")
     """Positions of rows that come straight from a file scan, without sorting them.
 
     ``rows`` must have been staged with ``file``, ``block_start`` and ``kept_seq``, the
-    row mark taken after filtering, so marks are gapless within a block.
+    row mark taken after filtering, so marks are gapless within a block. What is added to the marks of a block
+    is one narrow row a block, which is broadcast up to ``BROADCAST_BLOCKS`` of them, so that the rows
+    themselves stay where they are; beyond that the two are joined by shuffle.
     """
     blocks = rows.groupBy("file", "block_start").agg(
         F.count(F.lit(1)).alias("_rows"), F.min("kept_seq").alias("_first")
@@ -99,15 +103,17 @@ def number_lines(rows: DataFrame, within_file: bool = False, name: str = "pos")
         blocks = blocks.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
     else:
         blocks = running_total(blocks, ["file", "block_start"], "_rows", "_before")
-    shifts = stage(
-        blocks.select("file", "block_start", (F.col("_before") - F.col("_first")).alias("_shift")),
-        "blocks",
-    )
-    return (
-        rows.join(shifts, ["file", "block_start"])
-        .withColumn(name, F.col("kept_seq") + F.col("_shift") + 1)
-        .select(*rows.columns, name)
-    )
+    shift = (F.col("_before") - F.col("_first")).alias("_shift")
+    key = F.xxhash64("file")
+    shifts = stage(blocks.select("file", key.alias("_file"), F.col("block_start").alias("_block"), shift), "blocks")
+    count, files, keys = shifts.agg(F.count("*"), F.countDistinct("file"), F.countDistinct("_file")).first()
+    if files == keys:
+        of_block = F.broadcast(shifts.drop("file")) if count <= BROADCAST_BLOCKS else shifts.drop("file")
+        joined = rows.join(of_block, (key == F.col("_file")) & (F.col("block_start") == F.col("_block")))
+    else:  # two names of one hash
+        of_block = shifts.withColumnRenamed("file", "_name")
+        joined = rows.join(of_block, (F.col("file") == F.col("_name")) & (F.col("block_start") == F.col("_block")))
+    return joined.select(*rows.columns, (F.col("kept_seq") + F.col("_shift") + 1).alias(name))
 
 
 def assign_ids(df: DataFrame, order: Sequence[str], first_id: int = 1) -> DataFrame:

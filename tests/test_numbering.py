@@ -72,3 +72,25 @@ def test_running_total(spark):
     for row in found:
         assert row["before"] == total
         total += row["w"]
+
+
+@pytest.mark.parametrize("blocks", [500_000, 0])
+@pytest.mark.parametrize("within_file", [False, True])
+def test_lines_are_numbered_where_they_are(spark, monkeypatch, blocks, within_file):
+    monkeypatch.setattr(numbering, "BROADCAST_BLOCKS", blocks)
+    lines = [(f"f{n % 3}", 100 * (n % 4), n) for n in range(240)]
+    frame = spark.createDataFrame(lines, "file string, block_start long, n long")
+    placed = frame.repartition(2, "file", "block_start").sortWithinPartitions("file", "block_start", "n")
+    rows = numbering.stage(placed.withColumn("kept_seq", F.monotonically_increasing_id()), "lines")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        numbered = numbering.number_lines(rows, within_file)
+        text = numbered._jdf.queryExecution().executedPlan().toString()
+        found = numbered.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ("Exchange hashpartitioning" in text) == (blocks == 0)
+    expected = {row: n for n, row in enumerate(sorted(lines), 1)}
+    if within_file:
+        expected = {row: n - 80 * int(row[0][1]) for row, n in expected.items()}
+    assert {(r["file"], r["block_start"], r["n"]): r["pos"] for r in found} == expected
