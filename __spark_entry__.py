@@ -38,7 +38,7 @@ from recordhaul.sinks.manifest import pending_files
 from recordhaul.sinks.messages import write_message_files
 from recordhaul.sinks.tables import append_table, full_refresh
 from recordhaul.sources.messages import read_message_files
-from recordhaul.streaming import collection
+from recordhaul.streaming import collection, offsets
 from recordhaul.streaming.sync import current_documents, delivery_handler, run_sync
 from recordhaul.streaming.sync import totals as sync_run_totals
 
@@ -1024,6 +1024,39 @@ def stream_changes(spark, sf_dir):
     return collection.collection(spark, root).select(*_CHANGED)
 
 
+# The log as it was read: every seventh message twice.
+_READ_LOG_SQL = """
+    SELECT CAST(user_id % 3 AS INTEGER) AS partition, event_id FROM events
+    UNION ALL SELECT CAST(user_id % 3 AS INTEGER), event_id FROM events WHERE event_id % 7 = 0"""
+
+
+def _offset_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log, root = new_folder(spark, "read-log"), new_folder(spark, "offsets")
+    sent = _typed_log(spark, sf_dir).drop("op")
+    again = sent.filter(F.col("offset") % 7 == 0)
+    write_message_files(sent.unionByName(again).repartitionByRange(5, "offset"), log)
+    offsets.run_offsets(read_message_files(spark, log, max_files=1), root).awaitTermination()
+    return offsets.read_blocks(spark, root)
+
+
+@query(f"""
+    SELECT 'typed' AS topic, partition, min(event_id) AS first_offset, max(event_id) + 1 AS next_offset,
+           count(*) AS messages, count(*) - count(DISTINCT event_id) AS replays,
+           max(event_id) + 1 - min(event_id) - count(DISTINCT event_id) AS missing
+    FROM ({_READ_LOG_SQL}) GROUP BY partition""")
+def stream_offsets(spark, sf_dir):
+    return offsets.offset_progress(_offset_state(spark, sf_dir))
+
+
+@query(f"""
+    SELECT 'typed' AS topic, partition, event_id + 1 AS first_missing, following - 1 AS last_missing
+    FROM (SELECT partition, event_id, lead(event_id) OVER (PARTITION BY partition ORDER BY event_id) AS following
+          FROM (SELECT DISTINCT * FROM ({_READ_LOG_SQL})))
+    WHERE following > event_id + 1""")
+def stream_offset_gaps(spark, sf_dir):
+    return offsets.offset_gaps(_offset_state(spark, sf_dir))
+
+
 # --- contract ---------------------------------------------------------------------
 
 _ENTRY_DIR = "/root/testdata/sf0.001"

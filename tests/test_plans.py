@@ -27,7 +27,7 @@ LAZY = sorted(
     set(entry._QUERIES)
     - {
         "load_folder", "stream_sync", "stream_sync_totals", "full_load_log", "stream_sync_compacted",
-        "stream_changes", "stream_dead_letters", "load_stream",
+        "stream_changes", "stream_dead_letters", "load_stream", "stream_offsets", "stream_offset_gaps",
     }
 )
 
