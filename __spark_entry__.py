@@ -215,6 +215,17 @@ def ingest_records(spark, sf_dir):
     return _record_columns(ingest.accepted(_cleaned(_record_lines(spark, sf_dir))))
 
 
+@query(_RECORDS_SQL)
+def ingest_any_case(spark, sf_dir):
+    shown = F.col("value")
+    for name in ("id", "content", "created_at", "account_id"):
+        upper = F.regexp_replace(shown, f'"{name}":', f'"{name.upper()}" :')
+        title = F.regexp_replace(shown, f'"{name}":', f'"{name.title()}":')
+        shown = F.when(F.col("doc_id") % 3 == 0, upper).when(F.col("doc_id") % 3 == 1, title).otherwise(shown)
+    lines = _record_lines(spark, sf_dir).withColumn("value", shown)
+    return _record_columns(ingest.accepted(_cleaned(lines)))
+
+
 @query("""
     SELECT CASE WHEN doc_id % 10 IN (1, 4) THEN 'malformed'
                 WHEN doc_id % 10 IN (2, 5, 6) THEN 'wrong_type'

@@ -19,12 +19,15 @@ def parse_records(lines: DataFrame, max_line_bytes: int | None = None) -> DataFr
     """Parse ``value`` into the input fields; ``reason`` says why a line is refused.
 
     Every field must have its type, also those that are overwritten later. Unknown
-    fields are ignored, missing and null ones allowed. Names are matched exactly.
+    fields are ignored, missing and null ones allowed. Names are matched in any case; of
+    several members with one name the last counts.
     """
     too_long = F.lit(False) if max_line_bytes is None else F.octet_length("value") >= max_line_bytes
     readable = F.when(~too_long, F.col("value"))
-    body = lines.withColumn("_utf8", text.drop_invalid_utf8(readable)).withColumn(
-        "_body", jsonl.repair_surrogates(F.col("_utf8"))
+    body = (
+        lines.withColumn("_utf8", text.drop_invalid_utf8(readable))
+        .withColumn("_paired", jsonl.repair_surrogates(F.col("_utf8")))
+        .withColumn("_body", jsonl.exact_names(F.col("_paired"), RECORD_FIELDS))
     )
     parsed = body.withColumn("_doc", jsonl.parse_object(F.col("_body"), RECORD_FIELDS)).withColumn(
         "_single", jsonl.is_single_value(F.col("_body"))

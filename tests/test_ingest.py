@@ -222,3 +222,30 @@ def test_a_stream_of_files_loads_each_once_with_lasting_ids(spark, tmp_path):
     assert ("malformed", 2) in {tuple(r) for r in refused}
     with pytest.raises(ValueError):
         streamed.loaded(spark, str(tmp_path / "none"))
+
+
+@pytest.mark.parametrize(
+    ("line", "origin_id", "content", "reason"),
+    [
+        ('{"ID":"a","Content":"c"}', "a", "c", None),
+        ('{"iD" : "a","CONTENT"\t:"c"}', "a", "c", None),
+        ('{"content":"c","Content":"d"}', "", "d", None),
+        ('{"Content":"d","content":"c"}', "", "c", None),
+        ('{"Text":"t","content":""}', "", "t", None),
+        ('{"content":"say \\"Content\\": \\"ID\\":"}', "", 'say "Content": "ID":', None),
+        ('{"content":"Content","title":"ID"}', "", "Content", None),
+        ('{"content":"c","x\\"Content":"d"}', "", "c", None),
+        ('{"content":"c","more":{"Content":5}}', "", "c", None),
+        ('{"Content":5}', "", "", "wrong_type"),
+        ('{"Account_ID":"1","content":"c"}', "", "c", "wrong_type"),
+        ('{"Content":"c"} x', "", "c", "malformed"),
+        ('{"con\u017ftent":"c"}', "", "", "empty"),
+        ('{"Con\u0054ent":"c"}', "", "c", None),
+        ('"Content":', "", "", "malformed"),
+    ],
+)
+def test_names_in_any_case(spark, line, origin_id, content, reason):
+    (row,) = clean(spark, [line])
+    assert row["reason"] == reason
+    if reason is None:
+        assert (row["origin_id"], row["content"]) == (origin_id, content)
