@@ -21,6 +21,7 @@ from recordhaul.operators import (
     dedup,
     folding,
     ingest,
+    lexicon,
     messages,
     numbering,
     paging,
@@ -1035,6 +1036,51 @@ def stream_changes(spark, sf_dir):
     return collection.collection(spark, root).select(*_CHANGED)
 
 
+# --- words learned ------------------------------------------------------------------
+
+_PIECES_SQL = r"""
+    WITH runs AS (
+        SELECT run, count(*) AS n
+        FROM (SELECT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS run FROM documents) GROUP BY run),
+    placed AS (SELECT run, n, unnest(range(1, length(run) + 1)) AS place FROM runs),
+    sized AS (SELECT *, unnest([1, 2, 3, 4, 5]) AS size FROM placed),
+    counts AS (
+        SELECT substr(run, place, size) AS piece, size, CAST(sum(n) AS BIGINT) AS n
+        FROM sized WHERE place + size - 1 <= length(run) GROUP BY ALL)"""
+
+
+def _word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexicon.text_runs(_table(spark, sf_dir, "documents"), "text", r"\p{L}+")
+
+
+@query(f"{_PIECES_SQL} SELECT * FROM counts")
+def piece_counts(spark, sf_dir):
+    return lexicon.piece_counts(_word_runs(spark, sf_dir), 5)
+
+
+@query(f"""{_PIECES_SQL},
+    total AS (SELECT sum(n) AS total FROM counts WHERE size = 1),
+    ways AS (SELECT *, unnest(range(1, size)) AS cut FROM counts WHERE size BETWEEN 2 AND 4 AND n >= 5),
+    bound AS (
+        SELECT w.piece, w.size, w.n,
+               round(ln(min(CAST(w.n AS DOUBLE) * total / (CAST(l.n AS DOUBLE) * r.n))), 6) AS cohesion
+        FROM ways w JOIN counts l ON l.piece = left(w.piece, cut)
+             JOIN counts r ON r.piece = right(w.piece, w.size - cut), total
+        GROUP BY ALL),
+    sides AS (
+        SELECT piece, max(h) AS most FROM (
+            SELECT left(piece, size - 1) AS piece, sum(n * ln(n)) AS h FROM counts WHERE size > 1 GROUP BY 1
+            UNION ALL
+            SELECT right(piece, size - 1), sum(n * ln(n)) FROM counts WHERE size > 1 GROUP BY 1)
+        GROUP BY piece)
+    SELECT piece, size, n, cohesion, round(ln(n) - coalesce(most, 0) / n, 6) AS entropy
+    FROM bound LEFT JOIN sides USING (piece)
+    WHERE cohesion >= 2.5 AND round(ln(n) - coalesce(most, 0) / n, 6) >= 0.5
+    UNION ALL SELECT piece, size, n, NULL, NULL FROM counts WHERE size = 1""")
+def learned_lexicon(spark, sf_dir):
+    return lexicon.learn_lexicon(_word_runs(spark, sf_dir))
+
+
 # The log as it was read: every seventh message twice.
 _READ_LOG_SQL = """
     SELECT CAST(user_id % 3 AS INTEGER) AS partition, event_id FROM events
