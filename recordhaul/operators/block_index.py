@@ -27,6 +27,8 @@ PART_BYTES = 64 << 20
 PROBED = 8
 #: Blocks whose sizes are summed up in one window, about; those of one token are in one.
 SLICE_BLOCKS = 1_000_000
+#: Tasks that the tokens of a range are dealt out to.
+TOKEN_SHARES = 4
 
 BLOCKS = "token string, range int, n bigint, top double, bytes bigint, hits array<struct<_id: string, tf: bigint, dl: bigint>>, part int"
 DICTIONARY = "token string, df bigint, first_part int, last_part int, slice int"
@@ -80,15 +82,19 @@ def with_ranges(index: DataFrame, size: int = RANGE_DOCS) -> DataFrame:
 def posting_blocks(ranged: DataFrame, avgdl: float) -> DataFrame:
     """``token, range, n, top, bytes, hits``: one row for the postings of a token in a range.
 
-    A block holds about as many postings as a range has documents, at most.
+    A block holds about as many postings as a range has documents, at most. Postings are dealt out by range and
+    share of the tokens, so those of one document stay together, which compresses well, and not grouped
+    before: few postings of a task fall into one block.
     """
     hit = F.struct("_id", "tf", "dl")
     top = F.max(_saturation(F.col("tf"), F.col("dl"), F.lit(avgdl)))
-    blocks = ranged.groupBy("token", "range").agg(
+    share = F.pmod(F.xxhash64("token"), F.lit(TOKEN_SHARES)).alias("share")
+    dealt = ranged.select("token", "range", "_id", "tf", "dl", share).repartition("range", "share")
+    blocks = dealt.groupBy("range", "share", "token").agg(
         F.count(F.lit(1)).alias("n"), top.alias("top"),
         F.sum(F.octet_length("_id") + 20).alias("bytes"), F.sort_array(F.collect_list(hit)).alias("hits"),
     )
-    return blocks
+    return blocks.select("token", "range", "n", "top", "bytes", "hits")
 
 
 def _slice(hashed: Column, bits: int) -> Column:
@@ -97,10 +103,11 @@ def _slice(hashed: Column, bits: int) -> Column:
 
 
 def deal_out(blocks: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
-    """``token, range, n, bits, slice, part`` of every block.
+    """``token, range, n, bits, slice, part, opens`` of every block.
 
     The running sum is taken over the heads of blocks, in slices of the hash, each one window; to it the sums
-    of the slices before are added, of which there is one number a slice.
+    of the slices before are added, of which there is one number a slice. ``opens`` marks the first block of a
+    part in a slice.
     """
     heads = blocks.select("token", "range", "n", "bytes", F.xxhash64("token").alias("hash"))
     bits = max(0, -(-blocks.count() // SLICE_BLOCKS) - 1).bit_length()
@@ -108,10 +115,31 @@ def deal_out(blocks: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
     sums = heads.groupBy("slice").agg(F.sum("bytes").alias("whole"))
     starts = sums.select("slice", F.coalesce(F.sum("whole").over(earlier.orderBy("slice")), F.lit(0)).alias("before"))
-    running = F.sum("bytes").over(earlier.partitionBy("slice").orderBy("hash", "token", "range"))
-    placed = heads.withColumn("at", F.coalesce(running, F.lit(0))).join(starts, "slice")
-    part = F.floor((F.col("before") + F.col("at")) / part_bytes).cast("int")
-    return placed.select("token", "range", "n", "bits", "slice", part.alias("part"))
+    ordered = Window.partitionBy("slice").orderBy("hash", "token", "range")
+    running = F.sum("bytes").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    placed = heads.withColumn("at", F.coalesce(running, F.lit(0))).withColumn("last_at", F.lag("at").over(ordered))
+    placed = placed.join(starts, "slice")
+
+    def part(at: str) -> Column:
+        return F.floor((F.col("before") + F.col(at)) / part_bytes).cast("int")
+
+    opens = F.col("last_at").isNull() | (part("last_at") < part("at"))
+    return placed.select("token", "range", "n", "bits", "slice", part("at").alias("part"), opens.alias("opens"))
+
+
+def with_parts(blocks: DataFrame, placed: DataFrame, bits: int) -> DataFrame:
+    """Blocks with their part: that of the last block before them, or they themselves, that opens one.
+
+    Only those, about one a part, are sent to the blocks, which stay where they are.
+    """
+    place = F.struct(F.xxhash64("token").alias("hash"), F.col("token"), F.col("range"))
+    opening = placed.filter("opens").select("slice", "part", place.alias("low"))
+    following = F.lead("low").over(Window.partitionBy("slice").orderBy("low"))
+    bounds = F.broadcast(opening.withColumn("high", following))
+    keyed = blocks.withColumns({"_slice": _slice(F.xxhash64("token"), bits), "_place": place})
+    held = (F.col("_place") >= F.col("low")) & (F.col("high").isNull() | (F.col("_place") < F.col("high")))
+    joined = keyed.join(bounds, (F.col("_slice") == F.col("slice")) & held)
+    return joined.select(*blocks.columns, "part")
 
 
 def write_block_index(
@@ -119,24 +147,29 @@ def write_block_index(
 ) -> None:
     """Store postings as blocks below ``path``, with their dictionary and ``index_stats``.
 
-    Postings are shuffled once into blocks; blocks meet their parts and are dealt out by them. A part
-    is a folder of one file, sorted by token and range, so that a search opens the parts of its words only.
+    Postings are shuffled once into blocks, and blocks once into their parts. A part is a folder of one
+    file, sorted by token and range, so that a search opens the parts of its words only. The postings are read
+    twice and should be stored. On their way hits are arrays of ids and ints, as arrays of rows are wide; a
+    document's tokens are elements of an array, so an int can count them.
     """
     whole = stats.first()
     avgdl = whole["avgdl"] or 1.0
-    blocks = stage(posting_blocks(with_ranges(stage(index, "postings"), range_docs), avgdl), "blocks")
+    blocks = stage(posting_blocks(with_ranges(index, range_docs), avgdl), "blocks")
     placed = stage(deal_out(blocks, part_bytes), "dealt")
-    parts = (placed.agg(F.max("part")).first()[0] or 0) + 1
-    dealt = blocks.join(placed.select("token", "range", "part"), ["token", "range"])
-    dealt = dealt.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "token", "range")
+    last, bits = placed.agg(F.max("part"), F.max("bits")).first()
+    hits = {"_id": F.col("hits._id"), **{n: F.col(f"hits.{n}").cast("array<int>") for n in ("tf", "dl")}}
+    flat = with_parts(blocks, placed, bits or 0).withColumns(hits).drop("hits")
+    dealt = flat.repartitionById((last or 0) + 1, F.col("part")).sortWithinPartitions("part", "token", "range")
+    numbers = {n: F.col(n).cast("array<bigint>") for n in ("tf", "dl")}
+    dealt = dealt.withColumns(numbers).withColumn("hits", F.arrays_zip("_id", "tf", "dl"))
+    dealt = dealt.select("token", "range", "n", "top", "bytes", "hits", "part")
     dealt.write.mode("overwrite").partitionBy("part").parquet(f"{path}/blocks")
     dictionary = placed.groupBy("slice", "token").agg(
         F.sum("n").alias("df"), F.min("part").alias("first_part"), F.max("part").alias("last_part")
     )
     slices = dictionary.repartition("slice").sortWithinPartitions("slice", "token")
     slices.write.mode("overwrite").partitionBy("slice").parquet(f"{path}/dictionary")
-    bits = placed.agg(F.max("bits").alias("bits"))
-    stats.crossJoin(bits).write.mode("overwrite").parquet(f"{path}/stats")  # one row by one row
+    stats.withColumn("bits", F.lit(bits).cast("int")).write.mode("overwrite").parquet(f"{path}/stats")  # one row
 
 
 def _words(spark: SparkSession, path: str, terms: list[str], bits: int) -> list:

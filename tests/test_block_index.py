@@ -106,3 +106,28 @@ def test_no_document_at_all(spark, tmp_path):
     index = search.postings(none, "doc_id", "text")
     B.write_block_index(index, search.index_stats(none, index), str(tmp_path / "i"))
     assert B.top_hits(spark, str(tmp_path / "i"), "word", 5)[0].collect() == []
+
+
+def test_blocks_get_their_parts_where_they_are(spark, stored, monkeypatch):
+    path, index, stats = stored
+    staged = []
+    keep = B.stage
+    monkeypatch.setattr(B, "stage", lambda df, label: staged.append(label) or keep(df, label))
+    monkeypatch.setattr(B, "SLICE_BLOCKS", 100)
+    B.write_block_index(index, stats, f"{path}-again", part_bytes=8000, range_docs=50)
+    assert staged == ["blocks", "dealt"]  # postings are not written once more
+    blocks = spark.read.parquet(f"{path}/blocks").drop("part")
+    placed = keep(B.deal_out(blocks, 8000), "placed")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parts = B.with_parts(blocks, placed, placed.first()["bits"])
+        plan = parts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and placed.first()["bits"] > 2
+    wanted = placed.select("token", "range", "part")
+    found = parts.select("token", "range", "part")
+    assert found.count() == wanted.count() and found.exceptAll(wanted).isEmpty()
+    again = spark.read.parquet(f"{path}-again/blocks").select("token", "range", "part", "hits")
+    hits = spark.read.parquet(f"{path}/blocks").select("token", "range", "hits")
+    assert again.exceptAll(hits.join(wanted, ["token", "range"]).select(*again.columns)).isEmpty()
