@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recordhaul.operators.messages import PLACE
 from recordhaul.schemas import ENVELOPE
 
+#: Tasks a slot that a micro-batch is dealt out to.
+SLOT_TASKS = 2
+
 
 def broker_options(
     servers: str, topics: list[str], start: str = "earliest", max_rows: int | None = None, **more
@@ -50,3 +54,13 @@ def read_message_files(
         reader = reader.option("maxFilesPerTrigger", max_files)
     log = reader.parquet(folder)
     return log.filter(F.col("topic").isin(*topics)) if topics else log
+
+
+def spread(batch: DataFrame) -> DataFrame:
+    """The messages of a micro-batch, dealt out to all slots by their place in the log.
+
+    A batch is often one file or a few partitions of a topic, and so would be decoded by as few tasks,
+    however many messages it has. Only the messages as they came are moved.
+    """
+    slots = batch.sparkSession.sparkContext.defaultParallelism
+    return batch.repartition(SLOT_TASKS * slots, *[name for name in PLACE if name in batch.columns])

@@ -29,6 +29,7 @@ from recordhaul.operators.messages import (
 from recordhaul.schemas import ARTICLE_MAPPING
 from recordhaul.session import matches, stage
 from recordhaul.sinks.delivery import Sender, deliver
+from recordhaul.sources.messages import spread
 
 # Tries and pause of a failing write, time between commits.
 ATTEMPTS = 3
@@ -92,7 +93,7 @@ def batch_handler(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        decoded = decode_messages(batch, mapping, key).persist(StorageLevel.MEMORY_AND_DISK)
+        decoded = decode_messages(spread(batch), mapping, key).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             documents, dead = split_dead_letters(decoded)
             # Of the message only its place is kept beside the fields.
@@ -152,7 +153,7 @@ def delivery_handler(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        decoded = decode_messages(batch, mapping, key, not generate_ids)
+        decoded = decode_messages(spread(batch), mapping, key, not generate_ids)
         decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             documents, undecoded = split_dead_letters(decoded)
