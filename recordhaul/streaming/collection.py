@@ -40,6 +40,7 @@ from recordhaul.operators.folding import (
 from recordhaul.operators.messages import split_dead_letters, sync_totals
 from recordhaul.schemas import ARTICLE_MAPPING, mapping_fields
 from recordhaul.session import file_sizes, finished, matches, remove
+from recordhaul.sources.messages import spread
 
 BUCKETS = 64
 FANOUT = 4
@@ -203,7 +204,7 @@ def collection_handler(
             return
         if any(made.through >= batch_id for made in known.base.values()):
             return
-        decoded = decode_changes(batch, mapping, key, generate_ids)
+        decoded = decode_changes(spread(batch), mapping, key, generate_ids)
         decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             _, dead = split_dead_letters(decoded.drop("present"))

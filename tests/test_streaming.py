@@ -8,7 +8,7 @@ from recordhaul.plans.full_load import full_load_through_log
 from recordhaul.schemas import ENVELOPE
 from recordhaul.sinks.delivery import send_rows
 from recordhaul.sources.messages import read_message_files
-from recordhaul.streaming import sync
+from recordhaul.streaming import collection, sync
 
 
 def put(spark, log, name, rows):
@@ -243,3 +243,26 @@ def test_calls_and_pauses(failures, tries, pauses):
     assert refused == (["write_failed"] * 2 if failures > 3 else ["too long", None])
     with pytest.raises(ValueError):
         send_rows([{"id": 1}], lambda rows: [], 3, 0)
+
+
+def test_a_batch_of_one_file_is_decoded_by_all_slots(spark, tmp_path, monkeypatch):
+    rows = [("t", 0, n, str(n), doc(n, "x"), None) for n in range(400)]
+    batch = spark.createDataFrame(rows, ENVELOPE).coalesce(1)
+    seen = {}
+
+    def told(name, decode):
+        def count(messages, *args, **options):
+            tasks = messages.groupBy(F.spark_partition_id().alias("task")).count().collect()
+            seen[name] = len(tasks), sum(row["count"] for row in tasks)
+            return decode(messages, *args, **options)
+
+        return count
+
+    monkeypatch.setattr(sync, "decode_messages", told("sync", sync.decode_messages))
+    sync.batch_handler(str(tmp_path / "a"))(batch, 0)
+    monkeypatch.setattr(sync, "decode_messages", told("delivery", sync.decode_messages))
+    sync.delivery_handler(str(tmp_path / "b"), lambda: lambda rows: [None] * len(rows))(batch, 0)
+    monkeypatch.setattr(collection, "decode_changes", told("collection", collection.decode_changes))
+    collection.collection_handler(str(tmp_path / "c"))(batch, 0)
+    assert sorted(seen) == ["collection", "delivery", "sync"]
+    assert all(tasks >= 4 and rows == 400 for tasks, rows in seen.values()), seen
