@@ -31,6 +31,8 @@ PIECE_BPE = "piece_bpe_32k.model"
 BLOCK_BYTES = 2 << 20
 #: Chunks that each of the two encoders remembers, as both lie in a worker's memory.
 CHUNKS = 250_000
+#: Of so many ends one is searched in the whole document, and the others near it.
+STRIDE = 16
 #: Ids of the second tokenizer are less than this.
 B_IDS = 1 << 20
 
@@ -87,13 +89,15 @@ class PieceTokens(ChunkEncoder):
         """The ids of a text that begins with the space that the model adds."""
         return self._model.encode(text[1:])
 
-    def _chunk(self, chunk: str) -> list[int]:
-        if chunk[0] == " ":
-            return self._model.encode(chunk[1:])
-        ids = self._model.encode(chunk)
-        if ids[:1] != [self._space]:
-            raise ValueError("the model joins its leading space to a line feed")
-        return ids[1:]
+    def _chunks(self, chunks: list[str]) -> list[list[int]]:
+        # One call for all; the model adds the space of those that begin with one.
+        ids = self._model.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)
+        for n, chunk in enumerate(chunks):
+            if chunk[0] != " ":
+                if ids[n][:1] != [self._space]:
+                    raise ValueError("the model joins its leading space to a line feed")
+                ids[n] = ids[n][1:]
+        return ids
 
 
 _encoders: dict[tuple[type, str], ByteTokens | PieceTokens] = {}
@@ -141,7 +145,12 @@ def overlaps(short: np.ndarray, long: np.ndarray, bounds: np.ndarray, of: np.nda
     ``bounds`` are the documents' places in ``long``, ``of`` each short token's document; both lists end a document
     at the same offset.
     """
-    last = gallop(short, long, bounds[of], bounds[of + 1])
+    # Every STRIDE-th goes first; the others lie between the places of those around them.
+    marked = of[::STRIDE]
+    marks = gallop(short[::STRIDE], long, bounds[marked], bounds[marked + 1])
+    begin = np.maximum(bounds[of], np.repeat(marks, STRIDE)[: len(of)])
+    end = np.minimum(bounds[of + 1], np.repeat(np.append(marks[1:], len(long)), STRIDE)[: len(of)])
+    last = gallop(short, long, begin, end)
     common = long[last] == short
     first = np.empty_like(last)
     first[:1] = 0

@@ -131,12 +131,16 @@ class ChunkEncoder:
                 before = tuple(self.whole(space))
         return before + self._piece(word) + (self._piece(tail) if tail else ())
 
+    def _chunks(self, chunks: list[str]) -> list[Sequence[int]]:
+        """The ids of several chunks."""
+        return [self._chunk(chunk) for chunk in chunks]
+
     def _learn(self, chunks: list[str]) -> None:
         """Adds what is not known yet; a chunk without white space before it has had a space."""
         new = [chunk for chunk in chunks if chunk not in self._place]
         if not new:
             return
-        ids = [self._chunk(chunk if chunk[0] == "\n" else " " + chunk) for chunk in new]
+        ids = self._chunks([chunk if chunk[0] == "\n" else " " + chunk for chunk in new])
         self._place.update(zip(new, range(len(self._place), len(self._place) + len(new)), strict=True))
         ends = self._start[-1] + np.cumsum([len(x) for x in ids])
         self._start = np.concatenate([self._start, ends])

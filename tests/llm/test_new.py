@@ -332,3 +332,21 @@ def test_minima(values, data):
     assert table.right(one(first), one(depth))[0] == right and table.left(one(first), one(depth))[0] == left
 
 
+
+
+def test_pieces_of_a_batch_are_encoded_in_one_call():
+    from recordhaul.llm.token_alignment import PIECE_BPE
+    from recordhaul.llm.tokens import tokenizer_path
+
+    tokens = PieceTokens(tokenizer_path(PIECE_BPE))
+    model, calls = tokens._model, []
+
+    class Counted:
+        def encode(self, texts, **options):
+            calls.append(texts)
+            return model.encode(texts, **options)
+
+    tokens._model = Counted()
+    texts = ["one two three\nfour", "five six two"]
+    found = [ids.tolist() for ids in tokens.encode(pa.array(texts))]
+    assert found == [model.encode(text) for text in texts] and len(calls) == 1
